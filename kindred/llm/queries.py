@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import exact_dedup, mixing, near_dup, sharding
+from kindred.llm import attribution, exact_dedup, mixing, near_dup, packing, quality, sharding
 from kindred.llm.common import documents
 
 
@@ -12,10 +12,22 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(documents(spark, sf_dir)).drop("copies")
 
 
+def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
+def op4_score_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op5_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op7_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.section_tokens(documents(spark, sf_dir))
+
+
 def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
@@ -24,7 +36,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op5_exact_duplicates, op9_shard_documents, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_documents, op4_score_quality, op5_exact_duplicates, op7_section_tokens, op9_shard_documents, op10_near_duplicates)}
 
 ORACLE_SQL = {
     "op1_mix_sources": r"""
