@@ -5,10 +5,12 @@ key is a pair of base keys, so BASES * WIDTH minhashes feed BASES * (BASES - 1)
 meet if two of their base keys agree: at a similarity of 0.8 they miss with a probability near 1e-5. A base key
 that one text alone has cannot match and goes before pairs are formed, which loses nothing.
 
-Documents with one set are one node. Nodes that meet are compared on their full sets in three passes, none of which
-emits all pairs of a bucket: each node with the least of its buckets' first members; nodes of buckets that still span
-several components with a member drawn anew for each bucket; and what then still lies apart in a common bucket, with
-each pair across components whose sizes allow a link. After the last, any two that met are compared or connected.
+Documents with one set are one node. Nodes that meet are compared on their full sets, without all pairs of a bucket. In
+a few rounds each node is compared with one other that it meets in another component: first with the copy that has
+the fewest shingles of its own, then with members drawn by a hash. What then still lies apart in a common bucket, and
+shares enough shingles with others to link at all, is compared in full, in blocks of sets: the nodes outside a
+cluster's largest component with all of the cluster. So any two that met are compared, connected, or too far apart by
+an exact bound.
 """
 
 from __future__ import annotations
@@ -18,12 +20,14 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import cut, text_of, with_rows, without_rows
 
 BASES, WIDTH = 20, 3
+#: Rounds that compare each node with one other, and nodes in a block of the last comparison.
+DRAWS, BLOCK = 2, 64
 #: Sets of so many nodes at most are recomputed from documents picked by a broadcast list; beyond, by a shuffled join.
 BROADCAST_ROWS = 500_000
 MASK = (1 << 64) - 1
@@ -93,6 +97,29 @@ def _sets(words: int):
     return run
 
 
+def _compare(similar: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                out = list(_links(x.values, y.values, similar))
+                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], ["a", "b"])
+
+    return run
+
+
+def _links(x: pa.StructArray, y: pa.StructArray, similar: int) -> Iterator[tuple[int, int]]:
+    """Pairs of nodes from two blocks that link; each block's sets lie end to end in one array."""
+    xs, ys = ({c: b.field(c).to_numpy() for c in ("node", "comp", "common")} for b in (x, y))
+    found, sizes = y.field("s").flatten().to_numpy(), np.diff(y.field("s").offsets.to_numpy())
+    ends = np.cumsum(sizes)
+    for i, s in enumerate(x.field("s")):
+        s = np.sort(s.values.to_numpy())
+        at = np.minimum(np.searchsorted(s, found), len(s) - 1)
+        both = np.diff(np.concatenate([[0], np.cumsum(s[at] == found)[ends - 1]]))
+        for j in np.flatnonzero((100 * both >= similar * (len(s) + sizes - both)) & (ys["comp"] != xs["comp"][i])):
+            yield max(int(xs["node"][i]), int(ys["node"][j])), min(int(xs["node"][i]), int(ys["node"][j]))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) of every node of ``links`` (a, b), comp the least node reachable: alternating large and small stars,
     each over aggregated minima, written at each step."""
@@ -128,7 +155,7 @@ class _Linker:
         held = base.join(shared, "key").groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("k")).where("size(k) > 1")
         pair = F.expr("flatten(transform(k, (x, i) -> transform(slice(k, i + 2, size(k)), y -> xxhash64(x, y))))")
         tables = cut(held.select("node", F.explode(pair).alias("t")), "tables")
-        hubs = tables.groupBy("t").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").select("t", "hub")
+        hubs = tables.groupBy("t").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("t")
         self.buckets = cut(tables.join(hubs, "t"), "buckets")
         need = cut(self.buckets.select("node").distinct().join(self.nodes.select("node", "row", "digest", "n"), "node"), "needed")
         count = need.count()
@@ -145,33 +172,65 @@ class _Linker:
         both = sized.select("a", "b").join(left, "a").join(right, "b")
         return both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("s")).where(F.col("i") * 100 >= (F.col("s") - F.col("i")) * self.similar).select("a", "b")
 
-    def labelled(self, comps: DataFrame) -> DataFrame:
-        """Buckets with each member's component, of those buckets alone that span several."""
-        named = self.buckets.join(comps, "node", "left").select("t", "node", F.coalesce("comp", "node").alias("comp"))
+    def opened(self, buckets: DataFrame, comps: DataFrame) -> DataFrame:
+        """(t, node, rank, comp) of those buckets alone that span several components."""
+        named = buckets.select("t", "node", "rank").join(comps, "node", "left").select("t", "node", "rank", F.coalesce("comp", "node").alias("comp"))
         named = cut(named, "labelled")
-        open_ = named.groupBy("t").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.min(F.struct(F.xxhash64("node", "t"), "node", "comp")).alias("hub")).where("x <> y").select("t", F.col("hub.node").alias("hub"), F.col("hub.comp").alias("hub_comp"))
+        open_ = named.groupBy("t").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("t")
         return named.join(open_, "t")
 
+    def draw(self, open_: DataFrame, order: Column) -> DataFrame:
+        """For each node one of its buckets' first members by ``order`` that lies in another component."""
+        hubs = open_.groupBy("t").agg(F.min(F.struct(order.alias("o"), F.col("node").alias("hub"), F.col("comp").alias("c"))).alias("h")).select("t", "h.*")
+        best = open_.join(hubs, "t").where("comp <> c").groupBy("node").agg(F.min(F.struct("o", "hub")).alias("h"))
+        return best.select(F.greatest("node", "h.hub").alias("a"), F.least("node", "h.hub").alias("b")).distinct()
+
+    def own_counts(self) -> DataFrame:
+        """(node, n, common): ``common`` counts a node's shingles that any other node here has; an intersection is no
+        larger, so that it bounds a link exactly."""
+        alone = self.sets.select("node", F.explode("found").alias("x")).groupBy("x").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+        alone = alone.where("node = last").groupBy("node").agg(F.count("*").alias("own"))
+        return cut(self.known.join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")), "common")
+
     def solve(self) -> DataFrame:
         """(node, comp) for nodes with links."""
-        first = self.buckets.groupBy("node").agg(F.min("hub").alias("hub")).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-        links = cut(self.confirm(first), "links")
-        comps = cut(components(links), "components")
-        drawn = self.labelled(comps).where("comp <> hub_comp").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct()
-        more = cut(self.confirm(drawn), "links")
-        if more.take(1):
-            links = links.union(more)
-            comps = cut(components(links), "components")
-        apart = cut(self.labelled(comps).select("t", "node", "comp", "hub_comp").join(self.known, "node"), "apart")
-        # of an open bucket, what lies outside the drawn member's component meets every other component
-        out = apart.where("comp <> hub_comp").selectExpr("t", "node as a", "comp as ca", "n as na")
-        rest = out.join(apart.selectExpr("t", "node as b", "comp as cb", "n as nb"), "t").where("ca <> cb").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.similar)
-        rest = rest.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        last = cut(self.confirm(rest), "links")
-        if last.take(1):
-            comps = cut(components(links.union(last)), "components")
+        sized = self.own_counts()
+        # a node that shares too little with all others cannot link; the fewer changes a copy has, the earlier it ranks
+        low = self.buckets.join(sized, "node").groupBy("t").agg(F.min("n").alias("low"))
+        other = F.greatest(F.col("low"), F.col("n") * self.similar / 100)
+        can = self.buckets.join(sized, "node").join(low, "t").where(F.col("common") * (100 + self.similar) >= (F.col("n") + other) * self.similar)
+        can = cut(can.select("t", "node", (1 - F.col("common") / F.col("n")).alias("rank")), "can")
+        links, comps = None, can.selectExpr("node", "node as comp").limit(0)
+        for turn in range(DRAWS):
+            open_ = self.opened(can, comps)
+            order = F.col("rank") if not turn else F.xxhash64("t", "node", F.lit(turn)).cast("double")
+            found = cut(self.confirm(self.draw(open_, order)), "links")
+            if found.take(1):
+                links = found if links is None else links.union(found)
+                comps = cut(components(links), "components")
+        found = cut(self.blocks(self.opened(can, comps), sized), "links")
+        if found.take(1):
+            comps = cut(components(found if links is None else links.union(found)), "components")
         return comps
 
+    def blocks(self, open_: DataFrame, sized: DataFrame) -> DataFrame:
+        """Links between components that still share a bucket. What buckets connect is a cluster; in each, the nodes
+        outside its largest component meet all others, block by block."""
+        lows = open_.groupBy("t").agg(F.min("node").alias("low"))
+        edges = open_.join(lows, "t").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+        clusters = components(edges).withColumnRenamed("comp", "q")
+        nodes = cut(open_.select("node", "comp").distinct().join(clusters, "node").join(sized, "node"), "clustered")
+        parts = nodes.groupBy("q", "comp").agg(F.count("*").alias("c")).groupBy("q").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("c"))
+        placed = nodes.join(parts, "q").select(
+            "*", (F.col("comp") != F.col("m.comp")).alias("outside"), F.ceil(F.col("c") / BLOCK).alias("all"), F.ceil((F.col("c") - F.col("m.c")) / BLOCK).alias("few")
+        )
+        placed = placed.join(self.sets, "node")
+        row = F.struct("node", "comp", "common", F.col("found").alias("s")).alias("r")
+        few = cut(placed.where("outside").select("q", F.pmod(F.xxhash64("node"), "few").alias("i"), row).groupBy("q", "i").agg(F.collect_list("r").alias("x")), "few")
+        all_ = cut(placed.select("q", F.pmod(F.xxhash64("node"), "all").alias("j"), row).groupBy("q", "j").agg(F.collect_list("r").alias("y")), "all")
+        ids = few.select("q", "i").join(all_.select("q", "j"), "q")
+        return ids.join(few, ["q", "i"]).join(all_, ["q", "j"]).select("x", "y").mapInArrow(_compare(self.similar), "a bigint, b bigint").distinct()
+
     def result(self) -> DataFrame:
         """(doc_id, row, n, first): ``first`` the least doc_id reachable, null for a row without words."""
         marks = self.nodes.select("mark", "node")

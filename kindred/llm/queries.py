@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import attribution, exact_dedup, mixing, near_dup, packing, quality, sharding
+from kindred.llm import attribution, exact_dedup, media, mixing, near_dup, packing, quality, sharding
 from kindred.llm.common import documents
 
 
@@ -24,6 +24,10 @@ def op5_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op6_store_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.store_media(documents(spark, sf_dir), keep=False)
+
+
 def op7_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.section_tokens(documents(spark, sf_dir))
 
@@ -36,7 +40,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_documents, op4_score_quality, op5_exact_duplicates, op7_section_tokens, op9_shard_documents, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_documents, op4_score_quality, op5_exact_duplicates, op6_store_media, op7_section_tokens, op9_shard_documents, op10_near_duplicates)}
 
 ORACLE_SQL = {
     "op1_mix_sources": r"""
