@@ -1,0 +1,51 @@
+"""A training corpus from raw documents: quality, exact and near duplicates, mix, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the next
+one's docs. All but the last return the columns of documents. Stages handle nulls, empty texts, repeated rows and empty
+tables as their operators say.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from kindred.llm import exact_dedup, mixing, near_dup, packing, quality
+from kindred.llm.common import cut, documents
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier scores below 0.5 go."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the smallest doc_id stays."""
+    return exact_dedup.keep_first(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that five-word shingles link at 0.8 or more, the smallest doc_id stays."""
+    return near_dup.keep_one(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's target takes it; a document taken twice is two rows."""
+    return mixing.take_mix(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 1024 tokens."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("quality", quality_stage), ("exact", exact_stage), ("near", near_stage), ("mixing", mixing_stage), ("packing", packing_stage)]
+
+#: SQL cannot express the classifier; tests/llm hold the stages against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = cut(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import attribution, exact_dedup, media, mixing, near_dup, packing, quality, sharding
+from kindred.llm import attribution, exact_dedup, media, mixing, near_dup, packing, passages, pii, quality, sharding
 from kindred.llm.common import documents
 
 
@@ -16,6 +16,10 @@ def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op3_find_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_personal_data(documents(spark, sf_dir))
+
+
 def op4_score_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -32,6 +36,10 @@ def op7_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attribution.section_tokens(documents(spark, sf_dir))
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir))
+
+
 def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(documents(spark, sf_dir))
 
@@ -40,7 +48,7 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_documents, op4_score_quality, op5_exact_duplicates, op6_store_media, op7_section_tokens, op9_shard_documents, op10_near_duplicates)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_documents, op3_find_personal_data, op4_score_quality, op5_exact_duplicates, op6_store_media, op7_section_tokens, op8_repeated_passages, op9_shard_documents, op10_near_duplicates)}
 
 ORACLE_SQL = {
     "op1_mix_sources": r"""
