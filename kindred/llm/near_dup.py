@@ -28,6 +28,8 @@ from kindred.llm.common import cut, text_of, with_rows, without_rows
 BASES, WIDTH = 20, 3
 #: Rounds that compare each node with one other, and nodes in a block of the last comparison.
 DRAWS, BLOCK = 2, 64
+#: Shingles that two blocks are compared over at once.
+CODES = 8192
 #: Sets of so many nodes at most are recomputed from documents picked by a broadcast list; beyond, by a shuffled join.
 BROADCAST_ROWS = 500_000
 MASK = (1 << 64) - 1
@@ -108,16 +110,34 @@ def _compare(similar: int):
 
 
 def _links(x: pa.StructArray, y: pa.StructArray, similar: int) -> Iterator[tuple[int, int]]:
-    """Pairs of nodes from two blocks that link; each block's sets lie end to end in one array."""
-    xs, ys = ({c: b.field(c).to_numpy() for c in ("node", "comp", "common")} for b in (x, y))
-    found, sizes = y.field("s").flatten().to_numpy(), np.diff(y.field("s").offsets.to_numpy())
-    ends = np.cumsum(sizes)
-    for i, s in enumerate(x.field("s")):
-        s = np.sort(s.values.to_numpy())
-        at = np.minimum(np.searchsorted(s, found), len(s) - 1)
-        both = np.diff(np.concatenate([[0], np.cumsum(s[at] == found)[ends - 1]]))
-        for j in np.flatnonzero((100 * both >= similar * (len(s) + sizes - both)) & (ys["comp"] != xs["comp"][i])):
-            yield max(int(xs["node"][i]), int(ys["node"][j])), min(int(xs["node"][i]), int(ys["node"][j]))
+    """Links between nodes of two blocks, one for each two components that have any. Intersections are counted for all
+    pairs at once, as products of 0/1 matrices over the shingles that both blocks have, so many at a time."""
+    nodes, comps = ([b.field(c).to_numpy() for b in (x, y)] for c in ("node", "comp"))
+    sizes = [np.diff(b.field("s").offsets.to_numpy()) for b in (x, y)]
+    found = [b.field("s").flatten().to_numpy() for b in (x, y)]
+    shared = np.intersect1d(*map(np.unique, found), assume_unique=True)
+    if not len(shared):
+        return
+    places = []
+    for values, n in zip(found, sizes):
+        at = np.minimum(np.searchsorted(shared, values), len(shared) - 1)
+        held = shared[at] == values
+        rows, at = np.repeat(np.arange(len(n)), n)[held], at[held]
+        order = np.argsort(at, kind="stable")
+        places.append((rows[order], at[order]))
+    both = np.zeros((len(sizes[0]), len(sizes[1])), np.int64)
+    for low in range(0, len(shared), CODES):
+        part = []
+        for (rows, at), n in zip(places, sizes):
+            first, last = np.searchsorted(at, (low, low + CODES))
+            m = np.zeros((len(n), min(CODES, len(shared) - low)), np.float32)
+            m[rows[first:last], at[first:last] - low] = 1
+            part.append(m)
+        both += (part[0] @ part[1].T).astype(np.int64)  # exact: at most CODES ones
+    i, j = np.nonzero((100 * both >= similar * (sizes[0][:, None] + sizes[1] - both)) & (comps[0][:, None] != comps[1]))
+    _, first = np.unique(np.stack([comps[0][i], comps[1][j]]), axis=1, return_index=True)
+    for a, b in zip(nodes[0][i[first]].tolist(), nodes[1][j[first]].tolist()):
+        yield max(a, b), min(a, b)
 
 
 def components(links: DataFrame) -> DataFrame:
