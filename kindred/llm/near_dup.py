@@ -30,8 +30,10 @@ BASES, WIDTH = 20, 3
 DRAWS, BLOCK = 2, 64
 #: Shingles that two blocks are compared over at once.
 CODES = 8192
-#: Sets of so many nodes at most are recomputed from documents picked by a broadcast list; beyond, by a shuffled join.
+#: Tables of a row a node are broadcast up to so many nodes, counted first; beyond, joins shuffle.
 BROADCAST_ROWS = 500_000
+#: Links that one partition holds while components are sought.
+PART_ROWS = 1_000_000
 MASK = (1 << 64) - 1
 
 
@@ -142,21 +144,24 @@ def _links(x: pa.StructArray, y: pa.StructArray, similar: int) -> Iterator[tuple
 
 def components(links: DataFrame) -> DataFrame:
     """(node, comp) of every node of ``links`` (a, b), comp the least node reachable: alternating large and small stars,
-    each over aggregated minima, written at each step."""
+    each over aggregated minima, written at each step. Links are counted first and lie in as few partitions as hold
+    PART_ROWS each, so that a step over few of them needs no exchange."""
     edges = cut(links.where("a <> b").selectExpr("greatest(a, b) as u", "least(a, b) as v").distinct(), "stars")
     held = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     while held[0]:
-        both = edges.union(edges.select("v", "u"))
+        edges = edges.coalesce(-(-held[0] // PART_ROWS))
+        both = edges.select(F.expr("inline(array(struct(u as x, v as y), struct(v as x, u as y)))")).toDF("u", "v")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(low, "u").selectExpr("v as u", "m as v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").selectExpr("v as u", "m as v").where("u <> v").union(low.selectExpr("u", "m as v"))
+        small = large.join(low, "u").select(F.expr("inline(array(struct(v as x, m as y), struct(u as x, m as y)))")).toDF("u", "v").where("u <> v")
         edges = cut(small.distinct(), "stars")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == held:
             break
         held = now
-    return edges.selectExpr("u as node", "v as comp").union(edges.selectExpr("v as node", "v as comp").distinct())
+    both = edges.coalesce(max(1, -(-held[0] // PART_ROWS))).select(F.expr("inline(array(struct(u as x, v as y), struct(v as x, v as y)))"))
+    return both.toDF("node", "comp").distinct()
 
 
 class _Linker:
@@ -181,20 +186,25 @@ class _Linker:
         count = need.count()
         self.sets, self.known = None, need.select("node", "n")
         if count:
+            self.few = count <= BROADCAST_ROWS
             wanted = need.select("node", F.col("row").alias("its_row"), F.col("digest").alias("its"))
-            picked = self.docs.join(F.broadcast(wanted) if count <= BROADCAST_ROWS else wanted.hint("merge"), (F.col("digest") == F.col("its")) & (F.col("row") == F.col("its_row")))
+            picked = self.docs.join(self.by_node(wanted), (F.col("digest") == F.col("its")) & (F.col("row") == F.col("its_row")))
             self.sets = cut(picked.select("node", "text").mapInArrow(_sets(words), "node bigint, found array<bigint>"), "sets")
 
+    def by_node(self, table: DataFrame) -> DataFrame:
+        """A table of a row a node at most, to be joined: broadcast only if the nodes were counted to be few."""
+        return F.broadcast(table) if self.few else table.hint("merge")
+
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are links, each compared on both full sets."""
-        sized = pairs.join(self.known.toDF("a", "na"), "a").join(self.known.toDF("b", "nb"), "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.similar)
+        sized = pairs.join(self.by_node(self.known.toDF("a", "na")), "a").join(self.by_node(self.known.toDF("b", "nb")), "b").where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.similar)
         left, right = self.sets.toDF("a", "sa"), self.sets.toDF("b", "sb")
         both = sized.select("a", "b").join(left, "a").join(right, "b")
         return both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("i"), (F.size("sa") + F.size("sb")).alias("s")).where(F.col("i") * 100 >= (F.col("s") - F.col("i")) * self.similar).select("a", "b")
 
     def opened(self, buckets: DataFrame, comps: DataFrame) -> DataFrame:
         """(t, node, rank, comp) of those buckets alone that span several components."""
-        named = buckets.select("t", "node", "rank").join(comps, "node", "left").select("t", "node", "rank", F.coalesce("comp", "node").alias("comp"))
+        named = buckets.select("t", "node", "rank").join(self.by_node(comps), "node", "left").select("t", "node", "rank", F.coalesce("comp", "node").alias("comp"))
         named = cut(named, "labelled")
         open_ = named.groupBy("t").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("t")
         return named.join(open_, "t")
@@ -210,15 +220,15 @@ class _Linker:
         larger, so that it bounds a link exactly."""
         alone = self.sets.select("node", F.explode("found").alias("x")).groupBy("x").agg(F.min("node").alias("node"), F.max("node").alias("last"))
         alone = alone.where("node = last").groupBy("node").agg(F.count("*").alias("own"))
-        return cut(self.known.join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")), "common")
+        return cut(self.known.join(self.by_node(alone), "node", "left").select("node", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("common")), "common")
 
     def solve(self) -> DataFrame:
         """(node, comp) for nodes with links."""
         sized = self.own_counts()
         # a node that shares too little with all others cannot link; the fewer changes a copy has, the earlier it ranks
-        low = self.buckets.join(sized, "node").groupBy("t").agg(F.min("n").alias("low"))
+        low = self.buckets.join(self.by_node(sized), "node").groupBy("t").agg(F.min("n").alias("low"))
         other = F.greatest(F.col("low"), F.col("n") * self.similar / 100)
-        can = self.buckets.join(sized, "node").join(low, "t").where(F.col("common") * (100 + self.similar) >= (F.col("n") + other) * self.similar)
+        can = self.buckets.join(self.by_node(sized), "node").join(low, "t").where(F.col("common") * (100 + self.similar) >= (F.col("n") + other) * self.similar)
         can = cut(can.select("t", "node", (1 - F.col("common") / F.col("n")).alias("rank")), "can")
         links, comps = None, can.selectExpr("node", "node as comp").limit(0)
         for turn in range(DRAWS):
@@ -239,7 +249,7 @@ class _Linker:
         lows = open_.groupBy("t").agg(F.min("node").alias("low"))
         edges = open_.join(lows, "t").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
         clusters = components(edges).withColumnRenamed("comp", "q")
-        nodes = cut(open_.select("node", "comp").distinct().join(clusters, "node").join(sized, "node"), "clustered")
+        nodes = cut(open_.select("node", "comp").distinct().join(self.by_node(clusters), "node").join(self.by_node(sized), "node"), "clustered")
         parts = nodes.groupBy("q", "comp").agg(F.count("*").alias("c")).groupBy("q").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("c"))
         placed = nodes.join(parts, "q").select(
             "*", (F.col("comp") != F.col("m.comp")).alias("outside"), F.ceil(F.col("c") / BLOCK).alias("all"), F.ceil((F.col("c") - F.col("m.c")) / BLOCK).alias("few")
