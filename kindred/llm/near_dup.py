@@ -150,11 +150,12 @@ def components(links: DataFrame) -> DataFrame:
     held = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     while held[0]:
         edges = edges.coalesce(-(-held[0] // PART_ROWS))
-        both = edges.select(F.expr("inline(array(struct(u as x, v as y), struct(v as x, u as y)))")).toDF("u", "v")
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").selectExpr("v as u", "m as v").distinct()
+        # large star: u's link to v becomes one to the least of v and its lesser neighbours
+        low = edges.groupBy("u").agg(F.min("v").alias("m"))
+        large = edges.join(low.withColumnRenamed("u", "v"), "v", "left").select("u", F.coalesce("m", "v").alias("v")).distinct()
+        # small star: u and its lesser neighbours link to the least of them, a link each
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.expr("inline(array(struct(v as x, m as y), struct(u as x, m as y)))")).toDF("u", "v").where("u <> v")
+        small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
         edges = cut(small.distinct(), "stars")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == held:
