@@ -243,6 +243,21 @@ def test_passages(spark, tmp_path):
     assert all(x.start_word <= 61 and x.end_word >= 129 for x in out)
 
 
+@pytest.mark.parametrize("length", (50, 60, 100))
+def test_passages_of_low_similarity(spark, tmp_path, length):
+    r = random.Random(length)
+    rows = []
+    for i in range(300):
+        own = words(r, length).split()
+        changed = list(own)
+        for k in r.sample(range(length), length * (10 + i % 11) // 100):
+            changed[k] = f"changed{r.randrange(10**6)}"
+        rows += [(2 * i, f"{words(r, 60)} {' '.join(own)} {words(r, 60)}", "s"), (2 * i + 1, f"{words(r, 60)} {' '.join(changed)} {words(r, 60)}", "s")]
+    out = passages.repeated_passages(table(spark, rows, str(tmp_path / "t"))).collect()
+    found = {tuple(sorted((x.doc_id, x.other_doc_id))) for x in out}
+    assert found == {(2 * i, 2 * i + 1) for i in range(300)}
+
+
 def test_chains_against_all_orders():
     r = np.random.default_rng(3)
     for _ in range(30):
