@@ -47,9 +47,9 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def with_rows(docs: DataFrame) -> DataFrame:
-    """(r, row): each input row as a struct with its place in the scan. It repeats only where the input reads alike each
-    time, as a written table does."""
-    return docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("r"), F.monotonically_increasing_id().alias("row"))
+    """(r, row): each input row as a struct with its place in the scan, written once. A second scan of the input may be
+    split otherwise, when executors come or go, and would number the rows anew."""
+    return cut(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("r"), F.monotonically_increasing_id().alias("row")), "rows")
 
 
 def without_rows(tagged: DataFrame, drops: DataFrame, broadcast_rows: int = 1_000_000) -> DataFrame:

@@ -217,9 +217,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = 1_000_000) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``exact_duplicates`` keeps.
-
-    The input must read alike each time (a written table does): rows are told apart by their place in the scan."""
+    """The rows of ``docs``, with all their columns, that ``exact_duplicates`` keeps."""
     tagged = with_rows(docs)
     keys = cut(digests(tagged, f"r.{id_col}", f"r.{text_col}", F.col("row")), "digests")
     shards = max(shuffle_partitions(docs.sparkSession), -(-keys.count() // shard_rows))

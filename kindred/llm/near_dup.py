@@ -287,8 +287,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similar: int = 80, id_col:
     is its own component. Rows with equal sets are one component; null ids come after all others, so component_id is
     null only if no row of the component has an id. kept tells doc_id = component_id, also of rows that repeat that
     id; a row without id is kept if its component has no id. An empty table gives an empty result; other columns,
-    whatever their names, are not read. The input must read alike each time, as a written table does."""
-    tagged = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    whatever their names, are not read."""
+    tagged = cut(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"), F.monotonically_increasing_id().alias("row")), "rows")
     found = _linker(tagged, words, similar, bases, width)
     at = F.when(F.col("first").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), at.alias("component_id"), F.col("doc_id").eqNullSafe(at).alias("kept"))

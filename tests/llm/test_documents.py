@@ -115,6 +115,23 @@ def test_near_with_nulls_and_repeats(docs):
     assert all(x.component_id == x.doc_id and x.kept for x in out if x.n_shingles == 0)
 
 
+@pytest.mark.parametrize("f", (near_dup.keep_one, near_dup.near_duplicates, exact_dedup.keep_first, passages.repeated_passages))
+def test_rows_are_numbered_once(spark, unique, f, monkeypatch):
+    """The input's files are read by one write alone: later reads could number its rows otherwise."""
+    from kindred.llm import common
+
+    source, reads = set(unique.inputFiles()), []
+
+    def counted(df, name, own=common.cut):
+        reads.append(bool(source & set(df.inputFiles())))
+        return own(df, name)
+
+    for m in (common, exact_dedup, near_dup, passages):
+        monkeypatch.setattr(m, "cut", counted)
+    out = f(unique)
+    assert reads.count(True) == 1 and not source & set(out.inputFiles())
+
+
 def test_mix(docs):
     out = mixing.mix_sources(docs).collect()
     assert len(out) == len(corpus()) and all(x["size"] == 0 or x.taken <= 3 * x["size"] for x in out)
