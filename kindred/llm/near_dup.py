@@ -44,7 +44,7 @@ def shingles(text: str, words: int) -> np.ndarray:
     n = len(parts)
     if not n:
         return np.empty(0, np.uint64)
-    if n <= words:
+    if n < words:
         return np.array([xxhash.xxh3_64_intdigest(b" ".join(parts))], np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, n)
     out = np.zeros(n - words + 1, np.uint64)
