@@ -245,12 +245,15 @@ class _Linker:
         return comps
 
     def blocks(self, open_: DataFrame, sized: DataFrame) -> DataFrame:
-        """Links between components that still share a bucket. What buckets connect is a cluster; in each, the nodes
-        outside its largest component meet all others, block by block."""
-        lows = open_.groupBy("t").agg(F.min("node").alias("low"))
-        edges = open_.join(lows, "t").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
-        clusters = components(edges).withColumnRenamed("comp", "q")
-        nodes = cut(open_.select("node", "comp").distinct().join(self.by_node(clusters), "node").join(self.by_node(sized), "node"), "clustered")
+        """Links between components that still share a bucket. What buckets connect is a cluster of components, whose
+        nodes are connected already; in each cluster, the nodes outside its largest component meet all others, block by
+        block."""
+        spans = cut(open_.select("t", "comp").distinct(), "spans")
+        lows = spans.groupBy("t").agg(F.min("comp").alias("low"))
+        edges = spans.join(lows, "t").select(F.col("comp").alias("a"), F.col("low").alias("b")).where("a <> b").distinct()
+        clusters = components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("q"))
+        nodes = open_.select("node", "comp").distinct().join(self.by_node(clusters), "comp")
+        nodes = cut(nodes.join(self.by_node(sized), "node").select("q", "comp", "node", "common"), "clustered")
         parts = nodes.groupBy("q", "comp").agg(F.count("*").alias("c")).groupBy("q").agg(F.max(F.struct("c", "comp")).alias("m"), F.sum("c").alias("c"))
         placed = nodes.join(parts, "q").select(
             "*", (F.col("comp") != F.col("m.comp")).alias("outside"), F.ceil(F.col("c") / BLOCK).alias("all"), F.ceil((F.col("c") - F.col("m.c")) / BLOCK).alias("few")
