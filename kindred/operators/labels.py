@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.operators.ranking import counted, percentile, running
+
 
 def shuffled(seed: int, id_col: str = "device_ifa") -> list[Column]:
     """A fixed random order."""
@@ -44,7 +46,7 @@ def class_weights(rows: DataFrame, column: str = "label") -> DataFrame:
 
 def _ordered(rows: DataFrame, seed: int, by: list[str]) -> DataFrame:
     """Adds rn, the place in a fixed random order within ``by``, counted by parts of the hash so that no task holds all."""
-    part = F.substring(shuffled(seed)[0], 1, 2)
+    part = F.substring(shuffled(seed)[0], 1, 3)
     tagged = rows.withColumn("_part", part)
     w = Window.partitionBy(*by).orderBy("_part") if by else Window.orderBy("_part")
     sizes = tagged.groupBy(*by, "_part").count().select(*by, "_part", (F.sum("count").over(w) - F.col("count")).alias("_before"))
@@ -83,18 +85,15 @@ def subsample(rows: DataFrame, most: int, seed: int = 42) -> DataFrame:
 
 
 def average_ranks(rows: DataFrame, column: str, alias: str) -> DataFrame:
-    """(value, cnt, rank): the mean place of each value; ties are counted before places are, which then run over
-    distinct values."""
-    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("cnt"))
-    run = F.sum("cnt").over(Window.orderBy("value"))
-    return counts.select("value", (run - (F.col("cnt") - 1) / 2).alias(alias))
+    """(value, rank): the mean place of each value; ties are counted before places are, which then run over distinct
+    values."""
+    return counted(rows, column).select("value", (F.col("run") - (F.col("cnt") - 1) / 2).alias(alias))
 
 
 def auc(rows: DataFrame, score: str, label: str) -> DataFrame:
     """One row n_pos, n_neg, auc (null for a single class): rank sum with averaged ties."""
     counts = rows.groupBy(F.col(score).alias("value")).agg(F.count_if(F.col(label) > 0).alias("p"), F.count("*").alias("c"))
-    run = F.sum("c").over(Window.orderBy("value"))
-    s = counts.select("p", "c", (run - (F.col("c") - 1) / 2).alias("r")).agg(F.sum("p").alias("n_pos"), (F.sum("c") - F.sum("p")).alias("n_neg"), F.sum(F.col("p") * F.col("r")).alias("s"))
+    s = running(counts, [F.col("value")], "c", "run").select("p", "c", (F.col("run") - (F.col("c") - 1) / 2).alias("r")).agg(F.sum("p").alias("n_pos"), (F.sum("c") - F.sum("p")).alias("n_neg"), F.sum(F.col("p") * F.col("r")).alias("s"))
     return s.select("n_pos", "n_neg", F.round(F.try_divide(F.col("s") - F.col("n_pos") * (F.col("n_pos") + 1) / 2, F.col("n_pos") * F.col("n_neg")), 6).alias("auc"))
 
 
@@ -106,7 +105,7 @@ def spearman(rows: DataFrame, a: str, b: str) -> DataFrame:
 
 def lift(rows: DataFrame, score: str, label: str, percent: float) -> DataFrame:
     """Rate among the top share, ties at the cut included, over the rate of all."""
-    cut = rows.agg(F.percentile(score, 1 - percent / 100).alias("_cut"))
+    cut = percentile(rows, score, 1 - percent / 100).select(F.col("value").alias("_cut"))
     top = F.col(score) >= F.col("_cut")
     s = rows.join(F.broadcast(cut)).agg(F.count_if(top).alias("n_top"), F.avg(F.when(top, F.col(label))).alias("t"), F.avg(label).alias("a"))
     return s.select("n_top", F.round("t", 6).alias("top_rate"), F.round("a", 6).alias("base_rate"), F.round(F.try_divide("t", "a"), 6).alias("lift"))

@@ -70,15 +70,15 @@ def merge_embeddings(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.join(b, "device_ifa"), frames)
 
 
-ID_SPACES = ("skp_direct", "skb_ad_id", "skb_uuid", "skb_platform_ad_id", "log_direct")
+ID_SPACES = ("snapshot_direct", "crosswalk_ad_id", "crosswalk_uuid", "crosswalk_platform_ad_id", "log_direct")
 
 
 def id_space(seeds: DataFrame, latest: DataFrame, crosswalk: DataFrame, log: DataFrame) -> DataFrame:
     """One row: seed counts and, by ID space, how many seeds are in it. The crosswalk is scanned once for its three
-    columns, and all spaces meet the seeds in one join."""
-    stacked = crosswalk.select(F.expr("stack(3, 'skb_ad_id', ad_id, 'skb_uuid', uuid, 'skb_platform_ad_id', platform_ad_id) as (space, seed_id)"))
-    spaces = stacked.union(latest.select(F.lit("skp_direct"), "device_ifa")).union(log.select(F.lit("log_direct"), "device_ifa")).where("seed_id is not null").distinct()
-    hits = seeds.join(spaces, "seed_id").agg(*[F.count_if(F.col("space") == s).alias(f"n_{s}") for s in ID_SPACES])
+    columns, and all spaces meet the seeds in one semi join, before what is left is made distinct."""
+    stacked = crosswalk.select(F.expr("stack(3, 'crosswalk_ad_id', ad_id, 'crosswalk_uuid', uuid, 'crosswalk_platform_ad_id', platform_ad_id) as (space, seed_id)"))
+    spaces = stacked.union(latest.select(F.lit("snapshot_direct"), "device_ifa")).union(log.select(F.lit("log_direct"), "device_ifa")).where("seed_id is not null")
+    hits = spaces.join(seeds.select("seed_id"), "seed_id", "left_semi").distinct().agg(*[F.count_if(F.col("space") == s).alias(f"n_{s}") for s in ID_SPACES])
     sizes = seeds.agg(F.count("*").alias("n_seed"), F.count_if(K.is_uuid(F.col("seed_id"))).alias("n_uuid"), F.min(F.length("seed_id")).alias("min_len"), F.max(F.length("seed_id")).alias("max_len"))
     return sizes.join(hits)  # a row each
 
@@ -86,10 +86,10 @@ def id_space(seeds: DataFrame, latest: DataFrame, crosswalk: DataFrame, log: Dat
 def id_space_decision(counts: DataFrame, least: float = 0.1) -> DataFrame:
     """direct, crosswalk or ambiguous, with both rates and the better crosswalk column (of equal ones the first)."""
     rate = lambda c: F.coalesce(F.try_divide(F.col(c), F.col("n_seed")), F.lit(0.0))
-    direct, cross = F.greatest(rate("n_skp_direct"), rate("n_skb_ad_id")), F.greatest(rate("n_skb_platform_ad_id"), rate("n_skb_uuid"))
+    direct, cross = F.greatest(rate("n_snapshot_direct"), rate("n_crosswalk_ad_id")), F.greatest(rate("n_crosswalk_platform_ad_id"), rate("n_crosswalk_uuid"))
     return counts.select(
         F.when((direct >= least) & (cross < least), "direct").when((direct < least) & (cross >= least), "crosswalk").otherwise("ambiguous").alias("mode"),
-        F.when(rate("n_skb_platform_ad_id") >= rate("n_skb_uuid"), "platform_ad_id").otherwise("uuid").alias("crosswalk_col"),
+        F.when(rate("n_crosswalk_platform_ad_id") >= rate("n_crosswalk_uuid"), "platform_ad_id").otherwise("uuid").alias("crosswalk_col"),
         F.round(direct, 6).alias("direct_rate"),
         F.round(cross, 6).alias("crosswalk_rate"),
     )

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 
 def segment_distribution(latest: DataFrame, taxonomy: DataFrame) -> DataFrame:
-    """(feature_group, segment_id, device_cnt, pct_of_total_devices) by exploding once; the taxonomy is a small table."""
-    total = latest.agg(F.countDistinct("device_ifa").alias("total"))
+    """(feature_group, segment_id, device_cnt, pct_of_total_devices) by exploding once; ``latest`` has a row a device, and
+    the taxonomy is a small table."""
+    total = latest.agg(F.count("device_ifa").alias("total"))
     items = latest.select("device_ifa", F.explode(F.array_distinct(F.split("segments", ";"))).alias("segment_id"))
-    counts = items.groupBy("segment_id").agg(F.countDistinct("device_ifa").alias("device_cnt")).join(taxonomy.select("segment_id", "feature_group"), "segment_id")
+    counts = items.groupBy("segment_id").agg(F.count("device_ifa").alias("device_cnt")).join(taxonomy.select("segment_id", "feature_group"), "segment_id")
     return counts.join(F.broadcast(total)).select("feature_group", "segment_id", "device_cnt", F.round(F.col("device_cnt") / F.col("total") * 100, 6).alias("pct_of_total_devices"))
 
 

@@ -7,18 +7,13 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kindred.operators.ranking import percentile, placed
 
-def ranked(scores: DataFrame, labels: list[str], buckets: int = 64) -> DataFrame:
-    """Adds r_<label>, the place by score, then device. Rows are dealt to score buckets by approximate quantiles; a
-    bucket's places start after all before it, so that no task sorts the whole table."""
-    bounds = scores.agg(*[F.percentile_approx(f"score_{k}", [i / buckets for i in range(1, buckets)], 10_000) for k in labels]).first()
-    for k, cuts in zip(labels, bounds):
-        s = F.col(f"score_{k}")
-        above = F.size(F.filter(F.array(*[F.lit(c) for c in sorted(set(cuts or []))]), lambda c: c > s)) if cuts else F.lit(0)
-        scores = scores.withColumn("_b", above)
-        sizes = scores.groupBy("_b").count().select("_b", (F.sum("count").over(Window.orderBy("_b")) - F.col("count")).alias("_before"))
-        place = F.row_number().over(Window.partitionBy("_b").orderBy(s.desc(), "device_ifa"))
-        scores = scores.withColumn("_n", place).join(F.broadcast(sizes), "_b").withColumn(f"r_{k}", F.col("_before") + F.col("_n")).drop("_b", "_n", "_before")
+
+def ranked(scores: DataFrame, labels: list[str]) -> DataFrame:
+    """Adds r_<label>, the place by score, then device."""
+    for k in labels:
+        scores = placed(scores, [F.desc(f"score_{k}"), F.col("device_ifa")], f"r_{k}")
     return scores
 
 
@@ -30,7 +25,7 @@ def places(total: Column | int, percent: Column | float) -> Column:
 
 def top_share(scores: DataFrame, column: str, percent: float) -> DataFrame:
     """Rows at or above the interpolated percentile; ties at the cut stay."""
-    cut = scores.agg(F.percentile(column, 1 - percent / 100).alias("_cut"))
+    cut = percentile(scores, column, 1 - percent / 100).select(F.col("value").alias("_cut"))
     return scores.join(F.broadcast(cut)).where(F.col(column) >= F.col("_cut")).drop("_cut")  # the cut is one row
 
 
@@ -39,26 +34,25 @@ def top_masks(ranks: DataFrame, labels: list[str], percent: float) -> DataFrame:
     return ranks.select("*", *[(F.col(f"r_{k}") <= m).cast("int").alias(f"in_{k}") for k in labels])
 
 
-def union_by_rank(ranks: DataFrame, labels: list[str]) -> DataFrame:
-    """(m, n): rows whose best place is m. A union at m is the sum up to m, so that no share needs another scan."""
-    return ranks.groupBy(F.least(*[F.col(f"r_{k}") for k in labels]).alias("m")).agg(F.count("*").alias("n")) if len(labels) > 1 else ranks.groupBy(F.col(f"r_{labels[0]}").alias("m")).agg(F.count("*").alias("n"))
-
-
-def percent_for_union(ranks: DataFrame, labels: list[str], target: int, step: float = 0.01, at_least: bool = False) -> DataFrame:
+def percent_for_union(ranks: DataFrame, labels: list[str], target: int, step: float = 0.001, at_least: bool = False) -> DataFrame:
     """One row (pct, n_union): on the grid of ``step``, the smallest share whose union is nearest to ``target``, or with
-    ``at_least`` the smallest that reaches it, 100 if none does."""
-    spark, total = ranks.sparkSession, ranks.count()
-    best = union_by_rank(ranks, labels).withColumn("run", F.sum("n").over(Window.orderBy("m")))
-    grid = spark.range(1, round(100 / step) + 1).select((F.col("id") * step).alias("pct"))
-    grid = grid.withColumn("m", places(total, F.col("pct")))
-    both = grid.select("pct", "m", F.lit(None).cast("bigint").alias("run")).unionByName(best.select(F.lit(None).cast("double").alias("pct"), "m", "run"))
-    w = Window.orderBy("m", F.col("pct").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
-    sized = both.withColumn("n_union", F.coalesce(F.max("run").over(w), F.lit(0))).where("pct is not null")
+    ``at_least`` the smallest that reaches it, 100 if none does.
+
+    Each row is counted at the first share of the grid that takes it by any label; a union is the sum up to a share."""
+    spark, total, last = ranks.sparkSession, ranks.count(), round(100 / step)
+    best = F.least(*[F.col(f"r_{k}") for k in labels]) if len(labels) > 1 else F.col(f"r_{labels[0]}")
+    near = F.ceil((best - F.lit(0.5)) * (100 / (max(total, 1) * step))).cast("bigint")
+    taken = [F.when((near + i >= 1) & (places(total, (near + i) * F.lit(step)) >= best), near + i) for i in range(-2, 3)]
+    counts = ranks.groupBy(F.coalesce(*taken).alias("i")).agg(F.count("*").alias("n"))
+    ends = spark.createDataFrame([(1, 0), (last, 0)], "i bigint, n bigint")
+    grid = counts.union(ends).groupBy("i").agg(F.sum("n").alias("n"))
+    # a row a share of the grid at most
+    sized = grid.select((F.col("i") * F.lit(step)).alias("pct"), F.sum("n").over(Window.orderBy("i")).alias("n_union"))
     if at_least:
         order = [(F.col("n_union") < target).cast("int"), F.when(F.col("n_union") >= target, F.col("pct")).otherwise(-F.col("pct"))]
     else:
         order = [F.abs(F.col("n_union") - target), F.col("pct")]
-    return sized.orderBy(*order).limit(1).select(F.round("pct", 2).alias("pct"), "n_union")
+    return sized.orderBy(*order).limit(1).select(F.round("pct", 3).alias("pct"), "n_union")
 
 
 def union_output(masks: DataFrame, labels: list[str]) -> DataFrame:

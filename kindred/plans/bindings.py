@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ _IDS = {
 }
 IDS = {g: s.split() for g, s in _IDS.items()}
 ALL = [i for s in IDS.values() for i in s] + ["99990", "99991", "99992", "99993"]
-DIMS = 8
+DIMS = 64
 
 
 def uuid(x) -> F.Column:
@@ -54,7 +56,7 @@ class Tables:
         return self.read("orders").select("o_orderkey", *self._keys("o_orderdate"))
 
     @property
-    def skp(self) -> DataFrame:
+    def snapshots(self) -> DataFrame:
         t, e = F.array(*map(F.lit, ALL)), F.col("event_id")
         k = F.get_json_object("props", "$.k").cast("int")
         at = lambda x: F.get(t, x)
@@ -63,12 +65,12 @@ class Tables:
             F.when(e % 89 == 0, None).when(e % 97 == 0, "").otherwise(F.concat_ws(";", at(k), at((k * 7 + 3) % 100), at((k * 13 + 29) % 100))).alias("segments"), *self._keys("ts"),
         )
 
-    @property
+    @cached_property
     def users(self) -> int:
         return self.read("events").agg(F.countDistinct("user_id")).first()[0]
 
     @property
-    def skb(self) -> DataFrame:
+    def crosswalk(self) -> DataFrame:
         return self.read("orders").select(
             uuid(F.col("o_orderkey") % (2 * self.users)).alias("ad_id"), uuid(F.concat(F.lit("p"), "o_custkey")).alias("platform_ad_id"), uuid(F.concat(F.lit("u"), "o_orderkey")).alias("uuid")
         )
@@ -81,9 +83,8 @@ class Tables:
 
     @property
     def z(self) -> DataFrame:
-        """Embeddings: a device, the first numbers of its vector, its class."""
-        v = [F.col("embedding")[i].cast("double") for i in range(DIMS)]
-        return self.read("embeddings").select(uuid(F.col("vec_id")).alias("device_ifa"), F.array(*v).alias("z"), "label")
+        """Embeddings: a device, its vector, its class."""
+        return self.read("embeddings").select(uuid(F.col("vec_id")).alias("device_ifa"), F.col("embedding").cast("array<double>").alias("z"), "label")
 
     @property
     def scores(self) -> DataFrame:
@@ -103,16 +104,16 @@ SQL = {
       case user_id % 7 when 0 then '1' when 1 then null else '0' end as device_lmt, case when user_id % 5 = 0 then 'US-CA' else 'KR-11' end as device_geo_region,
       case when user_id % 3 = 2 then '17.1.2' else '14' end as device_osv from events)""",
     "orders_log": f"orders_log as (select o_orderkey, {_KEYS.format('o_orderdate')} from orders)",
-    "skp": f"""skp as (select {_uuid('user_id')} as ad_id, case when event_id % 10 = 0 then '1' else '2' end as id_type,
+    "snapshots": f"""snapshots as (select {_uuid('user_id')} as ad_id, case when event_id % 10 = 0 then '1' else '2' end as id_type,
       case when event_id % 89 = 0 then null when event_id % 97 = 0 then '' else {_T}[k + 1] || ';' || {_T}[(k * 7 + 3) % 100 + 1] || ';' || {_T}[(k * 13 + 29) % 100 + 1] end as segments,
       {_KEYS.format('ts')} from (select *, json_extract_string(props, '$.k')::int as k from events))""",
     "latest": """latest as (select ad_id as device_ifa, segments from (select *, row_number() over (partition by ad_id order by year desc, month desc, day desc, segments desc nulls last) as rn
-      from skp where not (year = '2024' and month = '12' and day = '31') and id_type = '2' and trim(ad_id) <> '') where rn = 1)""",
-    "skb": f"skb as (select {_uuid('o_orderkey % (2 * (select n from nu))')} as ad_id, {_uuid(chr(39) + 'p' + chr(39) + ' || o_custkey')} as platform_ad_id, {_uuid(chr(39) + 'u' + chr(39) + ' || o_orderkey')} as uuid from orders)",
+      from snapshots where not (year = '2024' and month = '12' and day = '31') and id_type = '2' and trim(ad_id) <> '') where rn = 1)""",
+    "crosswalk": f"crosswalk as (select {_uuid('o_orderkey % (2 * (select n from nu))')} as ad_id, {_uuid(chr(39) + 'p' + chr(39) + ' || o_custkey')} as platform_ad_id, {_uuid(chr(39) + 'u' + chr(39) + ' || o_orderkey')} as uuid from orders)",
     "seed_a": f"seed_a as (select {_uuid('c_custkey')} as seed_id from customer where c_custkey < 2 * (select n from nu) and c_mktsegment = 'BUILDING')",
     "seed_b": f"seed_b as (select {_uuid('c_custkey')} as seed_id from customer where c_custkey < 2 * (select n from nu) and c_acctbal > 4000)",
     "seed_x": f"seed_x as (select {_uuid(chr(39) + 'p' + chr(39) + ' || c_custkey')} as seed_id from customer where c_mktsegment = 'MACHINERY')",
-    "z": f"z as (select {_uuid('vec_id')} as device_ifa, embedding[1:{DIMS}]::double[] as z, label from embeddings)",
+    "z": f"z as (select {_uuid('vec_id')} as device_ifa, embedding::double[] as z, label from embeddings)",
     "scores": "scores as (select device_ifa, z[1] as score_a, z[2] as score_b, z[3] as score_c from z)",
     "ranks": "ranks as (select *, row_number() over (order by score_a desc, device_ifa) as r_a, row_number() over (order by score_b desc, device_ifa) as r_b, row_number() over (order by score_c desc, device_ifa) as r_c, count(*) over () as n from scores)",
     "taxonomy": "taxonomy as (select * from (values " + ", ".join(f"('{i}', '{g}', '{g}', '{j % 3 if j % 4 else ' '}', {'null' if j % 5 == 0 else chr(39) + f'n{j}' + chr(39)})" for g, s in IDS.items() for j, i in enumerate(s)) + ") t(segment_id, feature_group, depth1, depth2, name))",

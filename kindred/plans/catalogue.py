@@ -64,13 +64,16 @@ def q_seed_source_nonuuid(t: Tables) -> DataFrame:
     return populations.seed_source(c.select(F.col("c_name").alias("seed_id")).union(blank), "seed_id", uuid_only=False)
 
 
-@query("", """with p as (select o_custkey % 40 as k, min(strftime(o_orderdate, '%Y-%m-%d')) as s, max(strftime(o_orderdate, '%Y-%m-%d')) as e from orders where o_orderkey % 50 = 0 group by 1)
-select a.k as a, b.k as b, a.s <= b.e and b.s <= a.e as overlap from p a join p b on a.k < b.k and a.k % 4 = b.k % 4""")
+@query("", """with p as (select o_custkey % 40 as k, strftime(o_orderdate, '%Y') as y, o_orderstatus as f, min(strftime(o_orderdate, '%Y-%m-%d')) as s, max(strftime(o_orderdate, '%Y-%m-%d')) as e from orders group by 1, 2, 3)
+select a.k as a, a.y as a_year, a.f as a_status, count(*) as n, count(*) filter (where a.s <= b.e and b.s <= a.e) as n_overlap from p a join p b on (a.k, a.y, a.f) < (b.k, b.y, b.f) group by 1, 2, 3""")
 def q_periods_overlap(t: Tables) -> DataFrame:
+    """Each period, of a group of customers, a year and a status, against all after it: a small list by construction."""
     d = F.date_format("o_orderdate", "yyyy-MM-dd")
-    p = t.read("orders").where("o_orderkey % 50 = 0").groupBy((F.col("o_custkey") % 40).alias("k")).agg(F.min(d).alias("s"), F.max(d).alias("e"))
-    a, b = p.select(F.col("k").alias("a"), F.col("s").alias("sa"), F.col("e").alias("ea"), (F.col("k") % 4).alias("g")), p.select(F.col("k").alias("b"), F.col("s").alias("sb"), F.col("e").alias("eb"), (F.col("k") % 4).alias("g"))
-    return a.join(b, "g").where("a < b").select("a", "b", K.overlap(F.col("sa"), F.col("ea"), F.col("sb"), F.col("eb")).alias("overlap"))
+    p = t.read("orders").groupBy((F.col("o_custkey") % 40).alias("k"), F.date_format("o_orderdate", "yyyy").alias("y"), F.col("o_orderstatus").alias("f")).agg(F.min(d).alias("s"), F.max(d).alias("e"))
+    a, b = (p.select(F.struct("k", "y", "f").alias(f"{n}_of"), F.col("s").alias(f"{n}_start"), F.col("e").alias(f"{n}_end")) for n in "ab")
+    both = a.join(F.broadcast(b), F.col("a_of") < F.col("b_of"))
+    met = K.overlap(F.col("a_start"), F.col("a_end"), F.col("b_start"), F.col("b_end"))
+    return both.groupBy(F.col("a_of.k").alias("a"), F.col("a_of.y").alias("a_year"), F.col("a_of.f").alias("a_status")).agg(F.count("*").alias("n"), F.count_if(met).alias("n_overlap"))
 
 
 # Sampling. DuckDB has no crc32, so its bits are worked out in SQL.
@@ -102,19 +105,19 @@ def q_signed_mod_guard(t: Tables) -> DataFrame:
 # Populations
 
 
-@query("skp latest", "select * from latest")
+@query("snapshots latest", "select * from latest")
 def q_latest_segments(t: Tables) -> DataFrame:
-    return populations.latest_segments(t.skp)
+    return populations.latest_segments(t.snapshots)
 
 
-@query("nu skp latest seed_a", "select * from latest where device_ifa in (select seed_id from seed_a)")
+@query("nu snapshots latest seed_a", "select * from latest where device_ifa in (select seed_id from seed_a)")
 def q_seed_segments(t: Tables) -> DataFrame:
-    return populations.latest_segments(t.skp).join(t.seed("a").select(F.col("seed_id").alias("device_ifa")), "device_ifa", "left_semi")
+    return populations.latest_segments(t.snapshots).join(t.seed("a").select(F.col("seed_id").alias("device_ifa")), "device_ifa", "left_semi")
 
 
-@query("bid keep skp latest", "select distinct device_ifa from keep where device_ifa in (select device_ifa from latest)")
+@query("bid keep snapshots latest", "select distinct device_ifa from keep where device_ifa in (select device_ifa from latest)")
 def q_population(t: Tables) -> DataFrame:
-    return populations.population(_candidates(t), populations.latest_segments(t.skp)).select("device_ifa")
+    return populations.population(_candidates(t), populations.latest_segments(t.snapshots)).select("device_ifa")
 
 
 def _group(g: str) -> str:
@@ -128,24 +131,24 @@ from (select device_ifa, {_group('gender')} as g, {_group('age')} as a, {_group(
   from (select device_ifa, string_split(segments, ';') as l from {{0}}))"""
 
 
-@query("bid keep skp latest", _FEATURES.format("(select * from latest where device_ifa in (select device_ifa from keep))"))
+@query("bid keep snapshots latest", _FEATURES.format("(select * from latest where device_ifa in (select device_ifa from keep))"))
 def q_population_features(t: Tables) -> DataFrame:
-    return features.segment_features(populations.population(_candidates(t), populations.latest_segments(t.skp)), IDS)
+    return features.segment_features(populations.population(_candidates(t), populations.latest_segments(t.snapshots)), IDS)
 
 
-@query("nu skb seed_x", "select distinct ad_id as device_ifa from skb where platform_ad_id in (select seed_id from seed_x)")
+@query("nu crosswalk seed_x", "select distinct ad_id as device_ifa from crosswalk where platform_ad_id in (select seed_id from seed_x)")
 def q_crosswalk(t: Tables) -> DataFrame:
-    return populations.crosswalked(t.seed("x"), t.skb, "platform_ad_id")
+    return populations.crosswalked(t.seed("x"), t.crosswalk, "platform_ad_id")
 
 
-@query("nu skp latest seed_a", "select device_ifa from latest where device_ifa not in (select seed_id from seed_a)")
+@query("nu snapshots latest seed_a", "select device_ifa from latest where device_ifa not in (select seed_id from seed_a)")
 def q_pool_anti(t: Tables) -> DataFrame:
-    return populations.without(populations.latest_segments(t.skp).select("device_ifa"), t.seed("a"))
+    return populations.without(populations.latest_segments(t.snapshots).select("device_ifa"), t.seed("a"))
 
 
-@query("nu skp latest seed_a seed_b", "select device_ifa from latest where device_ifa not in (select seed_id from seed_a union select seed_id from seed_b)")
+@query("nu snapshots latest seed_a seed_b", "select device_ifa from latest where device_ifa not in (select seed_id from seed_a union select seed_id from seed_b)")
 def q_seed_exclusion(t: Tables) -> DataFrame:
-    return populations.without(populations.latest_segments(t.skp).select("device_ifa"), t.seed("a"), t.seed("b"))
+    return populations.without(populations.latest_segments(t.snapshots).select("device_ifa"), t.seed("a"), t.seed("b"))
 
 
 @query("nu seed_a seed_b", "select seed_id as device_ifa from seed_a union select seed_id from seed_b")
@@ -178,29 +181,29 @@ def q_keep_first(t: Tables) -> DataFrame:
 
 _SPACE = """select (select count(*) from s) as n_seed, (select count(*) from s where regexp_matches(seed_id, '^[0-9a-fA-F]{8}-([0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}$')) as n_uuid,
   (select min(length(seed_id)) from s) as min_len, (select max(length(seed_id)) from s) as max_len,
-  (select count(*) from s where seed_id in (select device_ifa from latest)) as n_skp_direct, (select count(*) from s where seed_id in (select ad_id from skb)) as n_skb_ad_id,
-  (select count(*) from s where seed_id in (select uuid from skb)) as n_skb_uuid, (select count(*) from s where seed_id in (select platform_ad_id from skb)) as n_skb_platform_ad_id,
+  (select count(*) from s where seed_id in (select device_ifa from latest)) as n_snapshot_direct, (select count(*) from s where seed_id in (select ad_id from crosswalk)) as n_crosswalk_ad_id,
+  (select count(*) from s where seed_id in (select uuid from crosswalk)) as n_crosswalk_uuid, (select count(*) from s where seed_id in (select platform_ad_id from crosswalk)) as n_crosswalk_platform_ad_id,
   (select count(*) from s where seed_id in (select device_ifa from bid)) as n_log_direct"""
 
 
 def _space(t: Tables, name: str) -> DataFrame:
-    return populations.id_space(t.seed(name).distinct(), populations.latest_segments(t.skp), t.skb, t.bid)
+    return populations.id_space(t.seed(name).distinct(), populations.latest_segments(t.snapshots), t.crosswalk, t.bid)
 
 
-@query("nu skp latest skb bid seed_a seed_x", "select 'a' as seed, * from (" + _SPACE.replace(" s)", " seed_a)").replace(" s where", " seed_a where") + ") union all select 'x', * from (" + _SPACE.replace(" s)", " seed_x)").replace(" s where", " seed_x where") + ")")
+@query("nu snapshots latest crosswalk bid seed_a seed_x", "select 'a' as seed, * from (" + _SPACE.replace(" s)", " seed_a)").replace(" s where", " seed_a where") + ") union all select 'x', * from (" + _SPACE.replace(" s)", " seed_x)").replace(" s where", " seed_x where") + ")")
 def q_id_space(t: Tables) -> DataFrame:
     return _space(t, "a").select(F.lit("a").alias("seed"), "*").union(_space(t, "x").select(F.lit("x").alias("seed"), "*"))
 
 
-@query("nu skp latest skb bid seed_x", """select case when d >= 0.1 and c < 0.1 then 'direct' when d < 0.1 and c >= 0.1 then 'crosswalk' else 'ambiguous' end as mode, case when p >= u then 'platform_ad_id' else 'uuid' end as crosswalk_col,
-  round(d, 6) as direct_rate, round(c, 6) as crosswalk_rate from (select greatest(n_skp_direct, n_skb_ad_id)::double / n_seed as d, greatest(n_skb_uuid, n_skb_platform_ad_id)::double / n_seed as c, n_skb_platform_ad_id as p, n_skb_uuid as u from (""" + _SPACE.replace(" s)", " seed_x)").replace(" s where", " seed_x where") + "))")
+@query("nu snapshots latest crosswalk bid seed_x", """select case when d >= 0.1 and c < 0.1 then 'direct' when d < 0.1 and c >= 0.1 then 'crosswalk' else 'ambiguous' end as mode, case when p >= u then 'platform_ad_id' else 'uuid' end as crosswalk_col,
+  round(d, 6) as direct_rate, round(c, 6) as crosswalk_rate from (select greatest(n_snapshot_direct, n_crosswalk_ad_id)::double / n_seed as d, greatest(n_crosswalk_uuid, n_crosswalk_platform_ad_id)::double / n_seed as c, n_crosswalk_platform_ad_id as p, n_crosswalk_uuid as u from (""" + _SPACE.replace(" s)", " seed_x)").replace(" s where", " seed_x where") + "))")
 def q_id_space_decision(t: Tables) -> DataFrame:
     return populations.id_space_decision(_space(t, "x"))
 
 
-@query("nu skb seed_x", "select count(*) as n_seed, count(*) filter (where seed_id in (select platform_ad_id from skb)) as n_matched from (select distinct seed_id from seed_x)")
+@query("nu crosswalk seed_x", "select count(*) as n_seed, count(*) filter (where seed_id in (select platform_ad_id from crosswalk)) as n_matched from (select distinct seed_id from seed_x)")
 def q_crosswalk_coverage(t: Tables) -> DataFrame:
-    mark = t.skb.select(F.col("platform_ad_id").alias("seed_id"), F.lit(1).alias("m")).distinct()
+    mark = t.crosswalk.select(F.col("platform_ad_id").alias("seed_id"), F.lit(1).alias("m")).distinct()
     return t.seed("x").distinct().join(mark, "seed_id", "left").agg(F.count("*").alias("n_seed"), F.count("m").alias("n_matched"))
 
 
@@ -209,11 +212,11 @@ def q_id_census(t: Tables) -> DataFrame:
     return t.seed("a").union(t.read("customer").select("c_name")).toDF("id").groupBy(F.length("id").alias("len")).agg(F.count("*").alias("n"), F.count_if(F.col("id").rlike("^[0-9a-f]{8}-")).alias("n_uuid"))
 
 
-@query("nu skp latest seed_b", """select count(*) filter (where device_ifa in (select case when ascii(seed_id) % 2 = 0 then upper(seed_id) else seed_id end from seed_b)) as n_exact,
+@query("nu snapshots latest seed_b", """select count(*) filter (where device_ifa in (select case when ascii(seed_id) % 2 = 0 then upper(seed_id) else seed_id end from seed_b)) as n_exact,
   count(*) filter (where lower(device_ifa) in (select lower(seed_id) from seed_b)) as n_any_case from latest""")
 def q_case_join(t: Tables) -> DataFrame:
     ids = t.seed("b").select(F.when(F.ascii("seed_id") % 2 == 0, F.upper("seed_id")).otherwise(F.col("seed_id")).alias("s"))
-    latest = populations.latest_segments(t.skp).select("device_ifa")
+    latest = populations.latest_segments(t.snapshots).select("device_ifa")
     exact = latest.join(ids, F.col("device_ifa") == F.col("s"), "left_semi").select("device_ifa", F.lit("e").alias("k"))
     loose = latest.join(ids, F.lower("device_ifa") == F.lower("s"), "left_semi").select("device_ifa", F.lit("l").alias("k"))
     return exact.union(loose).agg(F.count_if(F.col("k") == "e").alias("n_exact"), F.count_if(F.col("k") == "l").alias("n_any_case"))
@@ -222,19 +225,19 @@ def q_case_join(t: Tables) -> DataFrame:
 # Features
 
 
-@query("skp latest", f"select device_ifa, array_to_string({_group('age')}, ';') as age, array_to_string({_group('product')}, ';') as product, len({_group('etc')}) as n_etc from (select device_ifa, string_split(segments, ';') as l from latest)")
+@query("snapshots latest", f"select device_ifa, array_to_string({_group('age')}, ';') as age, array_to_string({_group('product')}, ';') as product, len({_group('etc')}) as n_etc from (select device_ifa, string_split(segments, ';') as l from latest)")
 def q_segment_groups(t: Tables) -> DataFrame:
-    return features.segment_groups(populations.latest_segments(t.skp), IDS).select("device_ifa", F.array_join("age_ids", ";").alias("age"), F.array_join("product_ids", ";").alias("product"), F.size("etc_ids").cast("bigint").alias("n_etc"))
+    return features.segment_groups(populations.latest_segments(t.snapshots), IDS).select("device_ifa", F.array_join("age_ids", ";").alias("age"), F.array_join("product_ids", ";").alias("product"), F.size("etc_ids").cast("bigint").alias("n_etc"))
 
 
-@query("skp latest", "select device_ifa, gender_score from (" + _FEATURES.format("latest") + ")")
+@query("snapshots latest", "select device_ifa, gender_score from (" + _FEATURES.format("latest") + ")")
 def q_gender_score(t: Tables) -> DataFrame:
-    return features.segment_features(populations.latest_segments(t.skp), IDS).select("device_ifa", "gender_score")
+    return features.segment_features(populations.latest_segments(t.snapshots), IDS).select("device_ifa", "gender_score")
 
 
-@query("nu skp latest seed_b", _FEATURES.format("(select * from latest where device_ifa in (select seed_id from seed_b))"))
+@query("nu snapshots latest seed_b", _FEATURES.format("(select * from latest where device_ifa in (select seed_id from seed_b))"))
 def q_segment_features(t: Tables) -> DataFrame:
-    latest = populations.latest_segments(t.skp).join(t.seed("b").select(F.col("seed_id").alias("device_ifa")), "device_ifa", "left_semi")
+    latest = populations.latest_segments(t.snapshots).join(t.seed("b").select(F.col("seed_id").alias("device_ifa")), "device_ifa", "left_semi")
     return features.segment_features(latest, IDS)
 
 
@@ -242,26 +245,26 @@ _LOOKUP = {i: k + 1 for k, i in enumerate(IDS["product"] + IDS["residence"])}
 _PRODUCT = f"[{', '.join(repr(i) for i in _LOOKUP)}]"
 
 
-@query("skp", f"select device_ifa, array_to_string(list_transform(list_filter(string_split(segments, ';')[-2:], lambda x: list_contains({_PRODUCT}, x)), lambda x: list_position({_PRODUCT}, x)), ';') as idx from (select ad_id || year || month || day as device_ifa, max(segments) as segments from skp group by 1)")
+@query("snapshots", f"select device_ifa, array_to_string(list_transform(list_filter(string_split(segments, ';')[-2:], lambda x: list_contains({_PRODUCT}, x)), lambda x: list_position({_PRODUCT}, x)), ';') as idx from (select ad_id || year || month || day as device_ifa, max(segments) as segments from snapshots group by 1)")
 def q_bag_indices(t: Tables) -> DataFrame:
-    rows = t.skp.groupBy(F.concat("ad_id", "year", "month", "day").alias("device_ifa")).agg(F.max("segments").alias("segments"))
+    rows = t.snapshots.groupBy(F.concat("ad_id", "year", "month", "day").alias("device_ifa")).agg(F.max("segments").alias("segments"))
     return features.bag_indices(rows, "segments", _LOOKUP, 2).select("device_ifa", F.array_join(F.col("idx").cast("array<string>"), ";").alias("idx"))
 
 
-_VOCAB = "vocab as (select token, cnt, row_number() over (order by cnt desc, token) + 1 as idx from (select nullif(trim(string_split(segments, ';')[1]), '') as token, count(*) as cnt from skp group by 1) where token is not null)"
+_VOCAB = "vocab as (select token, cnt, row_number() over (order by cnt desc, token) + 1 as idx from (select nullif(trim(string_split(segments, ';')[1]), '') as token, count(*) as cnt from snapshots group by 1) where token is not null)"
 
 
 def _first_tokens(t: Tables) -> DataFrame:
-    return t.skp.select("ad_id", K.first_id(F.col("segments")).alias("token"))
+    return t.snapshots.select("ad_id", K.first_id(F.col("segments")).alias("token"))
 
 
-@query("", sql("skp", "").rstrip() + ", " + _VOCAB + " select token, cnt, idx from vocab where idx < 42")
+@query("", sql("snapshots", "").rstrip() + ", " + _VOCAB + " select token, cnt, idx from vocab where idx < 42")
 def q_age_vocab(t: Tables) -> DataFrame:
     return features.vocabulary(_first_tokens(t), max_size=40)
 
 
-@query("", sql("skp", "").rstrip() + ", " + _VOCAB + """ select s.ad_id, s.token, case when s.token is null then 0 else coalesce(v.idx, 1) end as idx
-  from (select ad_id, nullif(trim(string_split(segments, ';')[1]), '') as token from skp) s left join (select * from vocab where idx < 42) v on s.token = v.token""")
+@query("", sql("snapshots", "").rstrip() + ", " + _VOCAB + """ select s.ad_id, s.token, case when s.token is null then 0 else coalesce(v.idx, 1) end as idx
+  from (select ad_id, nullif(trim(string_split(segments, ';')[1]), '') as token from snapshots) s left join (select * from vocab where idx < 42) v on s.token = v.token""")
 def q_age_encode(t: Tables) -> DataFrame:
     return features.encode_tokens(_first_tokens(t), "token", features.vocabulary(_first_tokens(t), max_size=40))
 
@@ -277,9 +280,9 @@ def q_taxonomy_path(t: Tables) -> DataFrame:
     return t.taxonomy.select("segment_id", K.path_text(F.col("depth1"), F.col("depth2"), F.col("name")).alias("path"))
 
 
-@query("skp", "select max(year || '-' || month || '-' || day) as latest, count(distinct year || month || day) as n_partitions from skp")
+@query("snapshots", "select max(year || '-' || month || '-' || day) as latest, count(distinct year || month || day) as n_partitions from snapshots")
 def q_partition_snapshot(t: Tables) -> DataFrame:
-    return latest_partition(t.skp)
+    return latest_partition(t.snapshots)
 
 
 # Encoding and scoring, with fixed weights
@@ -297,11 +300,11 @@ def q_project(t: Tables) -> DataFrame:
     return features.project(t.z, "z", _W, _B).select("device_ifa", *[F.round(F.col("out")[i], 6).alias(f"o_{i}") for i in range(4)])
 
 
-@query("skp latest z", f"""select l.device_ifa, round(coalesce(avg(v.z[1]), 0), 6) as v_0, round(coalesce(avg(v.z[2]), 0), 6) as v_1 from (select device_ifa, unnest(case when len(i) = 0 then [null] else i end) as i
+@query("snapshots latest z", f"""select l.device_ifa, round(coalesce(avg(v.z[1]), 0), 6) as v_0, round(coalesce(avg(v.z[2]), 0), 6) as v_1 from (select device_ifa, unnest(case when len(i) = 0 then [null] else i end) as i
   from (select device_ifa, coalesce(list_transform(list_filter(string_split(segments, ';'), lambda x: list_contains({_PRODUCT}, x)), lambda x: list_position({_PRODUCT}, x)), []) as i from latest)) l
   left join (select vec_id as i, embedding::double[] as z from embeddings) v on l.i = v.i group by 1""")
 def q_bag_mean(t: Tables) -> DataFrame:
-    bags = features.bag_indices(populations.latest_segments(t.skp), "segments", _LOOKUP, 72)
+    bags = features.bag_indices(populations.latest_segments(t.snapshots), "segments", _LOOKUP, 72)
     vectors = t.read("embeddings").select(F.col("vec_id").alias("idx"), F.col("embedding").cast("array<double>").alias("vector"))
     return features.bag_means(bags, vectors, 2).select("device_ifa", F.round(F.col("v")[0], 6).alias("v_0"), F.round(F.col("v")[1], 6).alias("v_1"))
 
@@ -436,7 +439,7 @@ def q_union_at_pct(t: Tables) -> DataFrame:
     return r.agg(F.count_if(F.least("r_a", "r_b", "r_c") <= selection.places(r.count(), 10)).alias("n_union"), F.count("*").alias("n"))
 
 
-_GRID = "g as (select i, i * 0.01::double as pct from range(1, 10001) t(i)), sized as (select round(pct, 2) as pct, (select count(*) from ranks where least(r_a, r_b, r_c) <= round_even((select max(n) from ranks) * pct / 100, 0)) as n_union from g) "
+_GRID = "g as (select i, i * 0.001::double as pct from range(1, 100001) t(i)), sized as (select round(pct, 3) as pct, (select count(*) from ranks where least(r_a, r_b, r_c) <= round_even((select max(n) from ranks) * pct / 100, 0)) as n_union from g) "
 
 
 def _grid(text: str) -> str:
@@ -504,11 +507,11 @@ _DIST = """dist as (select feature_group, segment_id, device_cnt, round(device_c
 
 
 def _dist(text: str) -> str:
-    return sql("skp latest taxonomy", "").rstrip() + ", " + _DIST + text
+    return sql("snapshots latest taxonomy", "").rstrip() + ", " + _DIST + text
 
 
 def _distribution(t: Tables) -> DataFrame:
-    return reports.segment_distribution(populations.latest_segments(t.skp), t.taxonomy)
+    return reports.segment_distribution(populations.latest_segments(t.snapshots), t.taxonomy)
 
 
 @query("", _dist("select * from dist"))
@@ -530,10 +533,10 @@ def q_lorenz(t: Tables) -> DataFrame:
     return reports.lorenz(_distribution(t))
 
 
-@query("nu bid skp latest seed_b", """select count(*) as n, count(*) filter (where s) as n_segment, count(*) filter (where b) as n_log, count(*) filter (where s and b) as n_both, count(*) filter (where s or b) as n_either,
+@query("nu bid snapshots latest seed_b", """select count(*) as n, count(*) filter (where s) as n_segment, count(*) filter (where b) as n_log, count(*) filter (where s and b) as n_both, count(*) filter (where s or b) as n_either,
   round(100.0::double * count(*) filter (where s and b) / count(*), 6) as pct_both from (select seed_id in (select device_ifa from latest) as s, seed_id in (select device_ifa from bid where req_ext_allow_user_data_collection = '1') as b from seed_b)""")
 def q_coverage(t: Tables) -> DataFrame:
-    marks = populations.latest_segments(t.skp).select("device_ifa", F.lit("s").alias("k")).union(t.bid.where("req_ext_allow_user_data_collection = '1'").select("device_ifa", F.lit("b")).distinct())
+    marks = populations.latest_segments(t.snapshots).select("device_ifa", F.lit("s").alias("k")).union(t.bid.where("req_ext_allow_user_data_collection = '1'").select("device_ifa", F.lit("b")).distinct())
     wide = marks.groupBy("device_ifa").agg(F.bool_or(F.col("k") == "s").alias("s"), F.bool_or(F.col("k") == "b").alias("b"))
     s, b = F.coalesce("s", F.lit(False)), F.coalesce("b", F.lit(False))
     return t.seed("b").join(wide, F.col("seed_id") == F.col("device_ifa"), "left").agg(

@@ -50,11 +50,11 @@ def test_anti_and_semi_are_the_whole(spark):
 
 def test_ambiguous_and_empty_seeds(spark):
     latest = spark.createDataFrame([("a", "1")], "device_ifa string, segments string")
-    skb = spark.createDataFrame([("b", "a", None)], "ad_id string, platform_ad_id string, uuid string")
+    crosswalk = spark.createDataFrame([("b", "a", None)], "ad_id string, platform_ad_id string, uuid string")
     log = spark.createDataFrame([("c",)], "device_ifa string")
     for seeds, mode in (([("a",)], "ambiguous"), ([("z",)], "ambiguous"), ([("b",)], "direct"), ([], "ambiguous")):
         s = spark.createDataFrame(seeds, "seed_id string")
-        assert populations.id_space_decision(populations.id_space(s, latest, skb, log)).first()[0] == mode
+        assert populations.id_space_decision(populations.id_space(s, latest, crosswalk, log)).first()[0] == mode
 
 
 def test_selection_edges(spark):
