@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred import functions as K
+from kindred.operators.ranking import placed
 
 GROUPS = ("gender", "age", "residence", "product", "content", "etc")
-#: IDs kept of a bag, the last ones.
+# fixed values: IDs kept of a bag, the last ones
 MAX_LEN = {"residence": 72, "product": 24, "content": 48, "etc": 48}
 # fixed values: what a gender segment says
 GENDER_WEIGHTS = {"26455": 1.0, "26456": 0.5, "26457": -1.0, "26458": -0.5}
@@ -53,15 +59,75 @@ def bag_indices(rows: DataFrame, column: str, lookup: dict[str, int], most: int)
     return rows.select("device_ifa", F.filter(F.transform(own, lambda x: m[x]), lambda x: x.isNotNull()).alias("idx"))
 
 
+def hashed_vectors(dims: int = 64) -> Callable[[list[str]], np.ndarray]:
+    """A provider of text vectors that needs no model: signed counts of hashed character trigrams, of length 1."""
+
+    def run(texts: list[str]) -> np.ndarray:
+        out = np.zeros((len(texts), dims))
+        for i, text in enumerate(texts):
+            t = f"  {text.lower()} "
+            for k in range(len(t) - 2):
+                h = int.from_bytes(hashlib.blake2b(t[k : k + 3].encode(), digest_size=8).digest(), "little")
+                out[i, h % dims] += 1 if h >> 63 else -1
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+
+    return run
+
+
+def lookup(taxonomy: DataFrame, provider: Callable[[list[str]], np.ndarray]) -> DataFrame:
+    """(segment_id, idx, vector): of each segment's path text the vector that ``provider`` gives, whatever makes it. idx
+    counts from 1 by segment, 0 stands for none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"segment_id": b.segment_id, "vector": list(provider(b.path.fillna("").tolist()) if len(b) else [])})
+
+    vectors = taxonomy.select("segment_id", "path").mapInPandas(run, "segment_id string, vector array<double>")
+    ids = placed(taxonomy.select("segment_id").distinct(), [F.col("segment_id")], "idx")
+    return ids.join(vectors, "segment_id").select("segment_id", F.col("idx").cast("int").alias("idx"), "vector")
+
+
+def fold(table: DataFrame, weights: np.ndarray) -> DataFrame:
+    """The lookup with its vectors projected (weights are vector by output): a mean of projections is the projection of
+    the mean, so that bags are pooled over fewer numbers. A bias is added after pooling, for empty bags too."""
+    return project(table, "vector", weights.T.tolist(), [0.0] * weights.shape[1]).withColumn("vector", F.col("out")).drop("out")
+
+
+#: Rows of a lookup that go to the tasks whole, counted first; a larger one is joined.
+LOOKUP_ROWS = 200_000
+
+
 def bag_means(bags: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:
-    """(device_ifa, v): mean vector of each bag, 0 for an empty one."""
-    items = bags.select("device_ifa", F.explode_outer("idx").alias("idx")).join(vectors, "idx", "left")
-    return items.groupBy("device_ifa").agg(F.array(*[F.coalesce(F.avg(F.get("vector", F.lit(d))), F.lit(0.0)) for d in range(dims)]).alias("v"))
+    """(device_ifa, v): mean vector of each bag of lookup rows, 0 for an empty or null one; idx that the lookup does not
+    have are left out. Each device has one row."""
+    if vectors.count() > LOOKUP_ROWS:
+        items = bags.select("device_ifa", F.explode_outer("idx").alias("idx")).join(vectors, "idx", "left")
+        items = items.select("device_ifa", F.posexplode_outer(F.slice("vector", 1, dims)).alias("d", "x"))
+        means = items.groupBy("device_ifa", "d").agg(F.avg("x").alias("x")).groupBy("device_ifa").agg(F.sort_array(F.collect_list(F.when(F.col("d").isNotNull(), F.struct("d", "x")))).alias("v"))
+        return means.select("device_ifa", F.when(F.size("v") > 0, F.col("v.x")).otherwise(F.array_repeat(F.lit(0.0), dims)).alias("v"))
+    held = vectors.select("idx", "vector").toPandas()
+    ids = held.idx.to_numpy(np.int64)
+    matrix = np.stack(held.vector.to_numpy())[:, :dims] if len(held) else np.zeros((0, dims))
+    order = np.argsort(ids)
+    ids, matrix = ids[order], np.append(matrix[order], np.zeros((1, dims)), axis=0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            bag = b.column("idx")
+            size = np.nan_to_num(pc.list_value_length(bag).to_numpy(zero_copy_only=False)).astype(np.int64)
+            items = bag.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            at = np.minimum(np.searchsorted(ids, items), max(0, len(ids) - 1))
+            known = ids[at] == items if len(ids) else np.zeros(len(items), bool)
+            owner = np.repeat(np.arange(b.num_rows), size)[known]
+            total, n = np.zeros((b.num_rows, dims)), np.bincount(owner, minlength=b.num_rows)
+            np.add.at(total, owner, matrix[at[known]])
+            yield pa.RecordBatch.from_arrays([b.column("device_ifa"), pa.array(list(total / np.maximum(n, 1)[:, None]), pa.list_(pa.float64()))], ["device_ifa", "v"])
+
+    return bags.select("device_ifa", F.col("idx").cast("array<bigint>").alias("idx")).mapInArrow(run, "device_ifa string, v array<double>")
 
 
 def project(rows: DataFrame, column: str, weights: list[list[float]], bias: list[float]) -> DataFrame:
-    """Adds ``out``: weights times the array column, plus bias, as one native expression a dimension. Folding a
-    projection into the lookup before pooling gives the same means over fewer dimensions."""
+    """Adds ``out``: weights times the array column, plus bias, as one native expression a dimension."""
     dot = lambda w: F.aggregate(F.zip_with(F.col(column), F.array(*map(F.lit, w)), lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     return rows.withColumn("out", F.array(*[dot(w) + F.lit(b) for w, b in zip(weights, bias)]))
 

@@ -8,18 +8,20 @@ Results depend on the partitions, and repeat while these do.
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred import functions as K
 from kindred.operators.features import dense_layers
-from kindred.operators.labels import auc, class_counts
+from kindred.operators.labels import auc, class_counts, three_way_split
 
 Params = dict[str, np.ndarray]
 #: Loss of a minibatch and its gradient by every parameter, given arrays by column and a generator.
@@ -127,7 +129,8 @@ def _classifier_gradient(columns: list[str], pos_weight: np.ndarray, mode: str,
         x, y = x[keep], y[keep]
         if not len(y):
             return 0.0, {k: np.zeros_like(v) for k, v in p.items()}
-        weight = 1 + (pos_weight - 1) * y if mode == "posweight" else np.ones_like(y)
+        # the negatives left out count as the weight of positives does elsewhere
+        weight = 1 + ({"posweight": pos_weight, "undersample": ratio}.get(mode, 1) - 1) * y
         last = len(p) // 2 - 1
         held, scale = [x], [1.0] * (last + 1)
         for i in range(last + 1):
@@ -155,7 +158,8 @@ def fit_classifier(rows: DataFrame, val: DataFrame, columns: dict[str, str], hid
 
     ``columns`` maps each label to its 0/1 column; ``rows`` and ``val`` hold device_ifa, z array<double> and those. One
     label and hidden (32,) is the binary classifier, several and (32, 32) the one with a head each. Imbalance: positives
-    weighted (posweight), classes drawn alike (sampler), or ``ratio`` negatives a positive (undersample). Rows with a null
+    weighted (posweight), classes drawn alike (sampler), or ``ratio`` negatives a positive, which then weighs ``ratio``
+    (undersample). Rows with a null
     vector are not used, null labels count as 0. A label that ``val`` has in one class only has no area and no say;
     without any the last round counts. Without rows there are no parameters."""
     if mode not in MODES:
@@ -192,6 +196,61 @@ def fit_classifier(rows: DataFrame, val: DataFrame, columns: dict[str, str], hid
         val.unpersist()
 
 
+def compare_imbalance(rows: DataFrame, column: str, configs: dict[str, dict], repeats: int = 3, seed: int = 42, **fit: object) -> DataFrame:
+    """(config, rep, auc): a classifier of each of ``configs`` (arguments of ``fit_classifier``) for each of ``repeats``
+    splits into training, validation and test rows by class; the area is that of the test rows."""
+    spark, out = rows.sparkSession, []
+    for rep in range(repeats):
+        split = three_way_split(rows.withColumn("code", F.col(column).cast("int")), "code", seed=seed + rep).drop("code").persist()
+        parts = {k: split.where(F.col("split") == k).drop("split") for k in ("train", "val", "test")}
+        for name, own in configs.items():
+            model = fit_classifier(parts["train"], parts["val"], {"y": column}, seed=seed + rep, **fit, **own)
+            scored = model.score(parts["test"]).join(parts["test"].drop("z"), "device_ifa")
+            out.append((name, rep, auc(scored, "score_y", column).first().auc))
+        split.unpersist()
+    return spark.createDataFrame(out, "config string, rep int, auc double")
+
+
+def repeat_summary(results: DataFrame, config: str = "config", value: str = "auc") -> DataFrame:
+    """(config, reps, mean_auc, std_auc) over repeats, the deviation that of the repeats themselves."""
+    return results.groupBy(F.col(config).alias("config")).agg(F.count(value).alias("reps"), F.round(F.avg(value), 6).alias("mean_auc"), F.round(F.stddev_pop(value), 6).alias("std_auc"))
+
+
+# Models as tables
+
+
+def save_model(spark: SparkSession, model: Classifier | Autoencoder, path: str, **about: object) -> str:
+    """Write a model as a table, a row a parameter, and return the hash that names it. ``about`` is kept with it."""
+    params = sorted(model.params.items())
+    digest = hashlib.sha256(b"".join(k.encode() + repr(v.shape).encode() + np.ascontiguousarray(v, np.float64).tobytes() for k, v in params)).hexdigest()
+    kind = type(model).__name__
+    spec = {f.name: getattr(model, f.name) for f in fields(model) if f.name != "params"} | {"about": about, "sha256": digest}
+    rows = [(k, list(v.shape), v.astype(np.float64).ravel().tolist(), None) for k, v in params] + [(kind, [], [], json.dumps(spec, sort_keys=True))]
+    spark.createDataFrame(rows, "name string, shape array<int>, value array<double>, spec string").coalesce(1).write.mode("errorifexists").parquet(path)
+    return digest
+
+
+def load_model(spark: SparkSession, path: str) -> Classifier | Autoencoder:
+    """The model that ``save_model`` wrote; a table that was changed since is refused."""
+    return _load(spark, path)[0]
+
+
+def about_model(spark: SparkSession, path: str) -> dict:
+    """What is kept with a model, with its hash."""
+    return _load(spark, path)[1]
+
+
+def _load(spark: SparkSession, path: str) -> tuple[Classifier | Autoencoder, dict]:
+    rows = spark.read.parquet(path).collect()  # a row a parameter
+    head = next(r for r in rows if r.spec is not None)
+    spec, params = json.loads(head.spec), {r.name: np.array(r.value, np.float64).reshape(r.shape) for r in rows if r.spec is None}
+    digest = hashlib.sha256(b"".join(k.encode() + repr(v.shape).encode() + v.tobytes() for k, v in sorted(params.items()))).hexdigest()
+    if digest != spec["sha256"]:
+        raise ValueError(f"{path} is not as it was written")
+    own = {k: v for k, v in spec.items() if k not in ("about", "sha256")}
+    return {"Classifier": Classifier, "Autoencoder": Autoencoder}[head.name](params, **own), spec["about"] | {"sha256": digest}
+
+
 # Autoencoder
 
 

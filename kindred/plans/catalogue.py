@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from uuid import uuid4
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred import functions as K
-from kindred.operators import features, labels, populations, reports, selection
+from kindred.operators import features, labels, models, populations, reports, selection
 from kindred.plans.bindings import DIMS, IDS, Tables, sql
 from kindred.sources import latest_partition
+from kindred.sources.tables import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -300,13 +303,13 @@ def q_project(t: Tables) -> DataFrame:
     return features.project(t.z, "z", _W, _B).select("device_ifa", *[F.round(F.col("out")[i], 6).alias(f"o_{i}") for i in range(4)])
 
 
-@query("snapshots latest z", f"""select l.device_ifa, round(coalesce(avg(v.z[1]), 0), 6) as v_0, round(coalesce(avg(v.z[2]), 0), 6) as v_1 from (select device_ifa, unnest(case when len(i) = 0 then [null] else i end) as i
+@query("snapshots latest z", f"""select l.device_ifa, d.d, round(coalesce(avg(v.z[d.d + 1]), 0), 6) as v from (select device_ifa, unnest(case when len(i) = 0 then [null] else i end) as i
   from (select device_ifa, coalesce(list_transform(list_filter(string_split(segments, ';'), lambda x: list_contains({_PRODUCT}, x)), lambda x: list_position({_PRODUCT}, x)), []) as i from latest)) l
-  left join (select vec_id as i, embedding::double[] as z from embeddings) v on l.i = v.i group by 1""")
+  left join (select vec_id as i, embedding::double[] as z from embeddings) v on l.i = v.i cross join (select unnest(range({DIMS}))::int as d) d group by 1, 2""")
 def q_bag_mean(t: Tables) -> DataFrame:
-    bags = features.bag_indices(populations.latest_segments(t.snapshots), "segments", _LOOKUP, 72)
+    bags = features.bag_indices(populations.latest_segments(t.snapshots), "segments", _LOOKUP, features.MAX_LEN["residence"])
     vectors = t.read("embeddings").select(F.col("vec_id").alias("idx"), F.col("embedding").cast("array<double>").alias("vector"))
-    return features.bag_means(bags, vectors, 2).select("device_ifa", F.round(F.col("v")[0], 6).alias("v_0"), F.round(F.col("v")[1], 6).alias("v_1"))
+    return features.bag_means(bags, vectors, DIMS).select("device_ifa", F.posexplode("v").alias("d", "v")).withColumn("v", F.round("v", 6))
 
 
 _HEAD = [0.7, -0.4, 0.9, 0.5]
@@ -544,6 +547,26 @@ def q_coverage(t: Tables) -> DataFrame:
     )
 
 
-@query("", "select l_returnflag as config, count(*) as reps, round(avg(l_discount), 6) as mean_auc, round(stddev_pop(l_discount), 6) as std_auc from lineitem group by 1")
+_CONFIGS = {"plain": (1.0, 0.0), "weighted": (0.5, 0.5), "inverse": (-1.0, 0.2)}
+_REPEATED = "reps as (select c.config, r.rep, z.label <= 1 as y, c.a * z.z[1] + c.b * z.z[2 + r.rep] as d from z cross join (values " + ", ".join(f"('{k}', {a}::double, {b}::double)" for k, (a, b) in _CONFIGS.items()) + ") c(config, a, b) cross join (select unnest(range(3))::int as rep) r)"
+
+
+@query("", sql("z", "").rstrip() + ", " + _REPEATED + f""", areas as (select config, rep, {_AUC.format('', 'y::int')} as auc from (select config, rep, y, rank() over (partition by config, rep order by d) + (count(*) over (partition by config, rep, d) - 1) / 2.0 as r from reps) group by 1, 2)
+select config, count(*) as reps, round(avg(auc), 6) as mean_auc, round(stddev_pop(auc), 6) as std_auc from areas group by 1""")
 def q_rep_summary(t: Tables) -> DataFrame:
-    return t.read("lineitem").groupBy(F.col("l_returnflag").alias("config")).agg(F.count("*").alias("reps"), F.round(F.avg("l_discount"), 6).alias("mean_auc"), F.round(F.stddev_pop("l_discount"), 6).alias("std_auc"))
+    """Areas of fixed scores, over three repeats of each configuration."""
+    parts = []
+    for k, (a, b) in _CONFIGS.items():
+        for rep in range(3):
+            scored = t.z.select((F.lit(a) * F.col("z")[0] + F.lit(b) * F.col("z")[1 + rep]).alias("d"), (F.col("label") <= 1).cast("int").alias("y"))
+            parts.append(labels.auc(scored, "d", "y").select(F.lit(k).alias("config"), F.lit(rep).alias("rep"), "auc"))
+    return models.repeat_summary(reduce(DataFrame.unionByName, parts))
+
+
+@query("z", f"select device_ifa, round(1 / (1 + exp(-({_linear('h', _HEAD, -0.1)}))), 6) as score from (select device_ifa, {_RELU} as h from (select device_ifa, {_HIDDEN} as h from z))")
+def q_score_saved(t: Tables) -> DataFrame:
+    """As q_score_mlp, by a model that was written as a table and read again."""
+    params = {"w0": np.array(_W).T, "b0": np.array(_B), "w1": np.array([_HEAD]).T, "b1": np.array([-0.1])}
+    at = f"{shared_folder(t.spark)}/model-{uuid4().hex}"
+    models.save_model(t.spark, models.Classifier(params, ["a"]), at)
+    return models.load_model(t.spark, at).score(t.z).select("device_ifa", F.round("score_a", 6).alias("score"))

@@ -1,26 +1,74 @@
 """Runs as tables: results that are made once, what made them, and checks before a run.
 
-A run is a folder below a root. Each result is a Parquet table there, written once; beside it lies a record, one row of
-a lineage table, of how it came about. A result counts as made only when its write was committed.
+A root folder holds pools, encoders, the seeds of all runs, and runs. Each result is a Parquet table, written once; beside
+it lies a record, one row of a lineage table, of how it came about. A result counts as made only when its write was
+committed.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
+import subprocess
 import time
 from collections.abc import Callable
+from dataclasses import asdict, dataclass, fields
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.functions import overlap
+from kindred.functions import overlap, period, period_key
 from kindred.sources import write_rows
 
-#: What may not change under a pool once it is made.
-FIXED_KEYS = ("periods", "region", "android", "sample_percent", "salt")
-RECORD = "name string, status string, rows bigint, seconds double, params string, plan_sha256 string, error string"
+RECORD = "name string, status string, rows bigint, seconds double, params string, inputs array<string>, plan string, plan_sha256 string, code string, error string"
+_PART = re.compile(r"[A-Za-z0-9][A-Za-z0-9._+-]*")
+
+
+@dataclass(frozen=True)
+class PoolSpec:
+    """What a pool is made of. None of it may change once the pool is made."""
+
+    periods: tuple[tuple[str, str], ...]
+    region: str | None = "KR"
+    android: bool = True
+    sample_percent: float | None = None
+    salt: str = ""
+
+    def __post_init__(self) -> None:
+        object.__setattr__(self, "periods", tuple(sorted((str(a), str(b)) for a, b in self.periods)))
+        for a, b in self.periods:
+            period(a, b)
+
+    def differences(self, other: PoolSpec) -> list[str]:
+        return [f.name for f in fields(self) if getattr(self, f.name) != getattr(other, f.name)]
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Paths below a root."""
+
+    root: str
+
+    def at(self, *parts: str) -> str:
+        for p in parts:
+            if not _PART.fullmatch(p):
+                raise ValueError(f"not a plain name: {p!r}")
+        return "/".join([self.root.rstrip("/"), *parts])
+
+    def pool(self, pool_id: str) -> str:
+        return self.at("pools", pool_id)
+
+    def encoder(self, name: str) -> str:
+        return self.at("encoders", name)
+
+    def run(self, name: str, periods: list[tuple[str, str]]) -> str:
+        return self.at("runs", name, period_key(periods))
+
+    @property
+    def seeds(self) -> str:
+        return self.at("seeds")
 
 
 def settings(path: str, defaults: dict) -> tuple[dict, list[str]]:
@@ -29,20 +77,35 @@ def settings(path: str, defaults: dict) -> tuple[dict, list[str]]:
     return defaults | {k: v for k, v in own.items() if k in defaults}, sorted(set(own) - set(defaults))
 
 
-def made(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def made(spark: SparkSession, path: str) -> bool:
+    return _exists(spark, f"{path}/_SUCCESS")
+
+
+def code_state(folder: str | None = None) -> str | None:
+    """The commit of the code, marked if files differ from it; None outside of a repository."""
+    at = folder or str(Path(__file__).parent)
+    git = lambda *a: subprocess.run(["git", "-C", at, *a], capture_output=True, text=True, check=True).stdout.strip()
+    try:
+        return git("rev-parse", "HEAD") + ("+dirty" if git("status", "--porcelain") else "")
+    except (OSError, subprocess.CalledProcessError):
+        return None
+
+
 def stage(spark: SparkSession, root: str, name: str, build: Callable[[], DataFrame], params: dict | None = None, force: bool = False) -> DataFrame:
     """The table ``root``/``name``: read if it is made, else built, written and recorded, also when it fails."""
     path, began = f"{root.rstrip('/')}/{name}", time.time()
     if made(spark, path) and not force:
         return spark.read.parquet(path)
-    status, rows, plan, error = "failed", None, None, None
+    status, rows, plan, inputs, error = "failed", None, None, None, None
     try:
         df = build()
-        plan = hashlib.sha256(df._jdf.queryExecution().analyzed().toString().encode()).hexdigest()
+        plan = df._jdf.queryExecution().analyzed().toString()
+        inputs = sorted(df.inputFiles())[:1000]
         write_rows(df, path, root)
         out = spark.read.parquet(path)
         status, rows = "ok", out.count()
@@ -51,7 +114,8 @@ def stage(spark: SparkSession, root: str, name: str, build: Callable[[], DataFra
         error = str(e)[:2000]
         raise
     finally:
-        record = (name, status, rows, time.time() - began, json.dumps(params or {}, sort_keys=True, ensure_ascii=False), plan, error)
+        digest = hashlib.sha256(plan.encode()).hexdigest() if plan else None
+        record = (name, status, rows, time.time() - began, json.dumps(params or {}, sort_keys=True, ensure_ascii=False, default=str), inputs, plan, digest, code_state(), error)
         spark.createDataFrame([record], RECORD).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/_lineage")
 
 
@@ -60,11 +124,30 @@ def lineage(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(RECORD).parquet(f"{root.rstrip('/')}/_lineage")
 
 
-def refuse_change(held: dict, wanted: dict, force: bool = False) -> None:
-    """A pool that is made keeps its ``FIXED_KEYS``."""
-    changed = [k for k in FIXED_KEYS if held.get(k) != wanted.get(k)]
-    if changed and not force:
-        raise ValueError(f"the pool was made with other {', '.join(changed)}")
+def keep(spark: SparkSession, path: str, value: dict, force: bool = False) -> None:
+    """Write a small document once; another one in its place is refused."""
+    held = held_at(spark, path)
+    if held is not None and held != json.loads(json.dumps(value)) and not force:
+        changed = sorted(k for k in {*held, *value} if held.get(k) != json.loads(json.dumps(value.get(k))))
+        raise ValueError(f"{path} was made with other {', '.join(changed)}")
+    if held is None or force:
+        spark.createDataFrame([(json.dumps(value, sort_keys=True, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def held_at(spark: SparkSession, path: str) -> dict | None:
+    return json.loads("\n".join(r[0] for r in spark.read.text(path).collect())) if made(spark, path) else None
+
+
+def keep_pool(spark: SparkSession, layout: Layout, pool_id: str, spec: PoolSpec, force: bool = False) -> None:
+    """A pool keeps its spec."""
+    keep(spark, f"{layout.pool(pool_id)}/spec", asdict(spec), force)
+
+
+def load_pool(spark: SparkSession, layout: Layout, pool_id: str) -> PoolSpec:
+    held = held_at(spark, f"{layout.pool(pool_id)}/spec")
+    if held is None:
+        raise ValueError(f"no pool {pool_id}")
+    return PoolSpec(**held | {"periods": tuple(map(tuple, held["periods"]))})
 
 
 def refuse_overlap(spark: SparkSession, pool: list[tuple[str, str]], candidates: list[tuple[str, str]]) -> None:
@@ -73,3 +156,16 @@ def refuse_overlap(spark: SparkSession, pool: list[tuple[str, str]], candidates:
     both = a.join(F.broadcast(b), overlap(F.col("a_start"), F.col("a_end"), F.col("b_start"), F.col("b_end"))).first()  # lists of a configuration
     if both:
         raise ValueError(f"{both.a_start}..{both.a_end} of the pool meets {both.b_start}..{both.b_end} of the candidates")
+
+
+def register_seeds(layout: Layout, run: str, seeds: DataFrame) -> None:
+    """Keep a run's seed IDs where later runs leave them out; a run that is made again replaces its own."""
+    layout.at("seeds", run)
+    write_rows(seeds.select("device_ifa").distinct(), f"{layout.seeds}/run={run}", layout.root)
+
+
+def registered_seeds(spark: SparkSession, layout: Layout) -> DataFrame:
+    """(run, device_ifa) of all runs."""
+    if not _exists(spark, layout.seeds):
+        return spark.createDataFrame([], "run string, device_ifa string")
+    return spark.read.option("basePath", layout.seeds).schema("device_ifa string, run string").parquet(f"{layout.seeds}/*").select("run", "device_ifa")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+import warnings
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.functions import UUID, path_text
@@ -19,11 +20,26 @@ def partitioned(spark: SparkSession, path: str) -> DataFrame:
 
 
 def seed_list(spark: SparkSession, path: str) -> DataFrame:
-    """First column of a CSV as seed_id; a first line that is no UUID is a header. Quotes and a byte-order mark go."""
-    first = spark.read.text(path).limit(1).collect()
-    head = first[0][0].lstrip("﻿").split(",")[0].strip().strip('"') if first else ""
-    rows = spark.read.option("header", not re.match(UUID, head)).csv(path)
-    return rows.select(F.regexp_replace(F.col(f"`{rows.columns[0]}`"), "^﻿", "").alias("seed_id")) if rows.columns else spark.createDataFrame([], "seed_id string")
+    """First column of a CSV (a file, a folder or a pattern) as seed_id. Of each file a first record that is no UUID is a
+    header. Quotes and a byte-order mark go; further columns are left out, with a warning."""
+    rows = spark.read.csv(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+    if len(rows.columns) > 3:
+        warnings.warn(f"{path} has several columns; the first is read", stacklevel=2)
+    ids = rows.select(F.regexp_replace(F.col(rows.columns[0]), "^\ufeff", "").alias("seed_id"), "_file", "_block", F.monotonically_increasing_id().alias("_at"))
+    heads = ids.where("_block = 0").groupBy("_file").agg(F.min("_at").alias("_first"))  # a row a file
+    return ids.join(F.broadcast(heads), "_file", "left").where((F.col("_at") != F.col("_first")) | F.col("_first").isNull() | F.col("seed_id").rlike(UUID)).select("seed_id")
+
+
+def one_csv(spark: SparkSession, path: str) -> str:
+    """``path`` itself if it is a file, else the one CSV file that the folder holds; none or several are refused."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(p) and fs.getFileStatus(p).isFile():
+        return path
+    found = [str(f.getPath()) for f in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/*.csv")) or []]
+    if len(found) != 1:
+        raise ValueError(f"{path} holds {len(found)} CSV files, not one")
+    return found[0]
 
 
 def seed_table(spark: SparkSession, spec: str) -> tuple[str, DataFrame]:
@@ -54,14 +70,15 @@ def write_rows(df: DataFrame, path: str, root: str) -> None:
 
 
 def publish(df: DataFrame, table: str) -> int:
-    """Save as a new table and verify its rows; an existing one is refused."""
+    """Save as a new table and verify its rows against those that the write counted; an existing one is refused."""
     if not all(_NAME.fullmatch(p) for p in table.split(".")):
         raise ValueError(f"not a table name: {table}")
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         raise ValueError(f"{table} exists")
-    df.write.mode("errorifexists").saveAsTable(table)
-    n, want = spark.table(table).count(), df.count()
+    seen = Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").saveAsTable(table)
+    n, want = spark.table(table).count(), seen.get["n"]
     if n != want:
         raise RuntimeError(f"{table} has {n} rows of {want}")
     return n

@@ -32,11 +32,26 @@ def test_settings(tmp_path):
     assert runs.settings(str(p), {"rounds": 20, "rate": 0.1}) == ({"rounds": 3, "rate": 0.1}, ["other"])
 
 
-def test_refusals(spark):
-    runs.refuse_change({"region": "KR"}, {"region": "KR", "note": 1})
-    runs.refuse_change({"region": "KR"}, {"region": "US"}, force=True)
+def test_refusals(spark, tmp_path):
+    layout, spec = runs.Layout(str(tmp_path)), runs.PoolSpec((("2024-01-01", "2024-01-31"),))
+    runs.keep_pool(spark, layout, "p1", spec)
+    runs.keep_pool(spark, layout, "p1", spec)
+    assert runs.load_pool(spark, layout, "p1") == spec
+    other = runs.PoolSpec((("2024-01-01", "2024-01-31"),), region="US")
+    assert spec.differences(other) == ["region"]
+    with pytest.raises(ValueError, match="region"):
+        runs.keep_pool(spark, layout, "p1", other)
+    runs.keep_pool(spark, layout, "p1", other, force=True)
     with pytest.raises(ValueError):
-        runs.refuse_change({"region": "KR"}, {"region": "US"})
+        layout.run("../x", [("2024-01-01", "2024-01-31")])
     runs.refuse_overlap(spark, [("2024-01-01", "2024-01-31")], [("2024-02-01", "2024-02-10")])
     with pytest.raises(ValueError):
         runs.refuse_overlap(spark, [("2024-01-01", "2024-01-31")], [("2024-03-01", "2024-03-10"), ("2024-01-31", "2024-02-10")])
+
+
+def test_seed_registry(spark, tmp_path):
+    layout = runs.Layout(str(tmp_path))
+    assert runs.registered_seeds(spark, layout).count() == 0
+    for run, ids in (("a", "xy"), ("b", "yz"), ("a", "w")):
+        runs.register_seeds(layout, run, spark.createDataFrame([(i,) for i in ids], "device_ifa string"))
+    assert sorted(map(tuple, runs.registered_seeds(spark, layout).collect())) == [("a", "w"), ("b", "y"), ("b", "z")]
