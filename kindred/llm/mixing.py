@@ -1,9 +1,10 @@
 """Mixing sources to target weights with hash-threshold histograms, natively.
 
 Words are summed by source and leading hash digits; the budget's boundary falls in one bucket of each source, and only
-that bucket is summed again by the next digits, down to whole hashes. The mix is then a filter: a document gets its
-source's whole passes, and one more if its hash lies below the source's threshold. Nothing is sorted, and a hot source
-is pre-summed to at most 16**digits rows an input partition.
+that bucket is summed again by the next digits, down to whole hashes. A hash is of a document's id and text; rows that
+repeat both go on with digits of their place in the scan, so that no two rows share a hash. The mix is then a filter: a
+document gets its source's whole passes, and one more if its hash lies below the source's threshold. Nothing is sorted,
+and a hot source is pre-summed to at most 16**digits rows an input partition.
 """
 
 from __future__ import annotations
@@ -11,9 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.llm.common import WORD, cut, text_of
+from kindred.llm.common import WORD, cut, text_of, with_rows
 
-DIGITS = 3
+#: Leading hash digits that each histogram adds. The first 16 are of id and text, the rest of the row.
+LEVELS = (3, 6, 16, 19, 22, 32)
+#: Sources whose thresholds are broadcast, counted first; beyond, rows and thresholds are dealt by source and a salt.
+BROADCAST_SOURCES, SALTS = 100_000, 16
 
 
 def words_in(text: Column) -> Column:
@@ -62,43 +66,59 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int
     """One row for each input row: doc_id, size, source_size, target, taken, copies.
 
     size counts words (null or empty text: 0); null is a source of its own, the last. A document is taken ``copies``
-    times: its source's whole passes plus one more if its hash is within the source's threshold. Rows with one id, or
-    without any, share a hash and are taken alike. The words taken of a source lie below its target by less than the
-    words of the next hash. An empty table gives an empty result; other columns, whatever their names, are not read."""
-    h = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    times: its source's whole passes plus one more if its hash is within the source's threshold. Ids may repeat or be
+    null: rows of one id and text are taken one by one, too. The words taken of a source lie below its target by less
+    than the words of the next hash. An empty table gives an empty result; other columns, whatever their names, are not
+    read."""
     rows = cut(
         docs.select(
             F.col(id_col).cast("bigint").alias("doc_id"),
             F.col(source_col).cast("string").alias("source"),
             words_in(text_of(text_col)).alias("size"),
-            F.substring(h, 1, 16).alias("h"),
+            _hash(id_col, text_col, F.monotonically_increasing_id()).alias("h"),
         ),
         "words",
     )
     copies = _copies(F.col("h"))
-    return _on(rows, thresholds(rows, weights, most)).select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))
+    return _on_rows(rows, *thresholds(rows, weights, most)).select("doc_id", "size", "source_size", "target", (F.col("size") * copies).alias("taken"), copies.alias("copies"))
+
+
+def _hash(id_col: str, text_col: str, row: Column) -> Column:
+    of = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(":"), F.md5(text_of(text_col).cast("binary")))
+    return F.concat(F.substring(F.md5(of.cast("binary")), 1, 16), F.substring(F.md5(row.cast("string").cast("binary")), 1, 16))
 
 
 def _on(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
-    """Join by source, null with null."""
+    """Join by source, null with null; ``right`` has a row a source and is broadcast."""
     named = right.withColumnRenamed("source", "its")
-    return left.join(named, left["source"].eqNullSafe(named["its"]), how).drop("its")
+    return left.join(F.broadcast(named), left["source"].eqNullSafe(named["its"]), how).drop("its")
+
 
+def _on_rows(rows: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
+    """As ``_on`` for all rows: with many sources the rows of each are dealt by a salt, so that a hot one is split."""
+    if few:
+        return _on(rows, plan)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)))
+    named = plan.withColumnRenamed("source", "its").withColumn("its_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+    return salted.join(named.hint("merge"), salted["source"].eqNullSafe(named["its"]) & (salted["salt"] == named["its_salt"])).drop("its", "salt", "its_salt")
 
-def thresholds(rows: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
+
+def thresholds(rows: DataFrame, weights: tuple[int, ...], most: int) -> tuple[DataFrame, bool]:
     """(source, source_size, target, passes, below) from (source, size, h): whole passes, and the hash below which a
-    document gets one more."""
-    top = rows.groupBy("source", F.substring("h", 1, DIGITS).alias("b1")).agg(F.sum("size").alias("words"))
+    document gets one more; and whether the sources are few enough to be broadcast."""
+    top = cut(rows.groupBy("source", F.substring("h", 1, LEVELS[0]).alias("b")).agg(F.sum("size").alias("words")), "histogram")
     targets = source_targets(top.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("bigint")
     plan = cut(targets.withColumn("passes", passes).withColumn("left", F.col("target") - F.col("passes") * F.col("source_size")), "targets")
-
-    first = _boundary(_on(top, plan.select("source", "left")), "b1")
-    inside = _on(rows, first.withColumnRenamed("b1", "at1")).where(F.substring("h", 1, DIGITS) == F.col("at1"))
-    second = _boundary(inside.groupBy("source", "left", F.substring("h", 1, 2 * DIGITS).alias("b2")).agg(F.sum("size").alias("words")), "b2")
-    inside = _on(rows, second.withColumnRenamed("b2", "at2")).where(F.substring("h", 1, 2 * DIGITS) == F.col("at2"))
-    third = _boundary(inside.groupBy("source", "left", "h").agg(F.sum("size").alias("words")), "h")
-    return _on(plan, third.select("source", F.col("h").alias("below")), "left")
+    few = plan.count() <= BROADCAST_SOURCES
+    found = _boundary(_on_rows(top.withColumnRenamed("b", "h"), plan.select("source", "left"), few), "h")
+    for n, m in zip(LEVELS, LEVELS[1:]):
+        # the boundary bucket alone is summed by more digits
+        found = cut(found, "boundary")
+        inside = _on_rows(rows, found.withColumnRenamed("h", "at"), few).where(F.substring("h", 1, n) == F.col("at"))
+        found = _boundary(inside.groupBy("source", "left", F.substring("h", 1, m).alias("h")).agg(F.sum("size").alias("words")), "h")
+    below = found.select("source", F.col("h").alias("below"))
+    return cut(_on(plan, below, "left") if few else plan.join(below.withColumnRenamed("source", "its"), F.col("source").eqNullSafe(F.col("its")), "left").drop("its"), "thresholds"), few
 
 
 def _copies(h: Column) -> Column:
@@ -108,12 +128,9 @@ def _copies(h: Column) -> Column:
 def take_mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: each row of ``docs`` as often as ``mix_sources`` takes it, rows taken 0 times left out.
 
-    The decision is a threshold by source, so the documents are read once more and filtered; they are never shuffled."""
-    h = F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, 16)
-    rows = cut(docs.select(F.col(source_col).cast("string").alias("source"), words_in(text_of(text_col)).alias("size"), h.alias("h")), "words")
-    plan = cut(thresholds(rows, weights, most), "thresholds").withColumnRenamed("source", "its")
-    tagged = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("r"))
-    joined = tagged.join(plan, F.col(f"r.{source_col}").cast("string").eqNullSafe(F.col("its")))
-    h = F.substring(F.md5(F.coalesce(F.col(f"r.{id_col}").cast("string"), F.lit("")).cast("binary")), 1, 16)
-    copies = _copies(h)
-    return joined.where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select("r.*")
+    Rows are numbered in one scan, whose written copy is then filtered by its source's threshold; it is not shuffled."""
+    tagged = with_rows(docs)
+    named = tagged.select("r", F.col(f"r.{source_col}").cast("string").alias("source"), words_in(text_of(f"r.{text_col}")).alias("size"), _hash(f"r.{id_col}", f"r.{text_col}", F.col("row")).alias("h"))
+    plan, few = thresholds(cut(named.drop("r"), "words"), weights, most)
+    copies = _copies(F.col("h"))
+    return _on_rows(named.drop("size"), plan, few).where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies))).select("r.*")

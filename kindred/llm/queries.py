@@ -54,7 +54,7 @@ ORACLE_SQL = {
     "op1_mix_sources": r"""
 with rows as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size,
-         substr(md5(coalesce(doc_id::varchar, '')), 1, 16) as h
+         substr(md5(coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, ''))), 1, 16) as h
   from documents
 ), per as (
   select source, sum(size)::bigint as source_size, [5, 2, 1][(row_number() over (order by source asc nulls last) - 1) % 3 + 1]::bigint as weight
@@ -74,7 +74,7 @@ with rows as (
   select *, case when source_size > 0 then floor(target / source_size) else 0 end::bigint as passes from targets
 ), placed as (
   select r.doc_id, r.size, p.source_size, p.target, p.passes, p.target - p.passes * p.source_size as remainder,
-         (sum(r.size) over (partition by r.source order by r.h))::bigint as run
+         (sum(r.size) over (partition by r.source order by r.h rows unbounded preceding))::bigint as run
   from rows r join plan p on r.source is not distinct from p.source
 )
 select doc_id, size, source_size, target, size * (passes + case when run <= remainder then 1 else 0 end) as taken from placed""",
