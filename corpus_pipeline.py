@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kindred.llm import exact_dedup, mixing, near_dup, packing, quality
-from kindred.llm.common import cut, documents
+from kindred.llm.common import documents
+from kindred.sources.tables import cut, drop
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +25,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that five-word shingles link at 0.8 or more, the smallest doc_id stays."""
+    """Of documents that five-word shingles link at 0.8 or more, the smallest doc_id stays. (The query op10 takes four words,
+    as its contract says.)"""
     return near_dup.keep_one(docs)
 
 
@@ -47,5 +49,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name)
+        kept = cut(stage(spark, docs, sf_dir), name)
+        drop(docs)
+        docs = kept
     return STAGES[-1][1](spark, docs, sf_dir)

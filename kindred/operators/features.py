@@ -52,6 +52,12 @@ def encode_tokens(rows: DataFrame, column: str, vocab: DataFrame) -> DataFrame:
     return joined.withColumn("idx", F.when(K.not_blank(F.col(column)), F.coalesce("idx", F.lit(1))).otherwise(0))
 
 
+def token_vectors(rows: DataFrame, column: str, vectors: list[list[float]]) -> DataFrame:
+    """Adds v, the vector of the token index in ``column``; index 0, none, has zeros, as an index without a vector."""
+    table = F.array(*[F.array(*[F.lit(float(x)) for x in v]) for v in [[0.0] * len(vectors[0]), *vectors[1:]]])
+    return rows.withColumn("v", F.coalesce(F.get(table, F.col(column)), F.array_repeat(F.lit(0.0), len(vectors[0]))))
+
+
 def bag_indices(rows: DataFrame, column: str, lookup: dict[str, int], most: int) -> DataFrame:
     """(device_ifa, idx): lookup rows of the last ``most`` IDs, unknown ones left out."""
     m = F.create_map(*[F.lit(x) for kv in lookup.items() for x in kv])

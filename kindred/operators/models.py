@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from kindred import functions as K
 from kindred.operators.features import dense_layers
 from kindred.operators.labels import auc, class_counts, three_way_split
+from kindred.operators.populations import keep_first
 
 Params = dict[str, np.ndarray]
 #: Loss of a minibatch and its gradient by every parameter, given arrays by column and a generator.
@@ -102,8 +103,10 @@ class Classifier:
     def layers(self) -> list[tuple[np.ndarray, np.ndarray]]:
         return [(self.params[f"w{i}"], self.params[f"b{i}"]) for i in range(len(self.params) // 2)]
 
-    def score(self, rows: DataFrame, column: str = "z") -> DataFrame:
-        """(device_ifa, score_<label>...)."""
+    def score(self, rows: DataFrame, column: str = "z", first_by: str | None = None) -> DataFrame:
+        """(device_ifa, score_<label>...); with ``first_by`` of rows that repeat a device the first in that order."""
+        if first_by is not None:
+            rows = keep_first([rows], first_by)
         out = dense_layers(rows, column, self.layers())
         return out.select("device_ifa", *[K.sigmoid(F.col("out")[i]).alias(f"score_{k}") for i, k in enumerate(self.labels)])
 

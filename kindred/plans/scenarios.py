@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from kindred.operators import features, labels, models, populations, selection
 from kindred.plans import runs
 
 POOL_STAGES = ("pool", "train", "encode")
-SEED_STAGES = ("seed", "candidate", "encode", "train", "score", "publish")
+SEED_STAGES = ("seed", "candidate", "encode", "train", "score", "lists", "overlap", "publish")
 #: Dimensions that each group's vectors are projected to.
 PROJECT = {"residence": 32, "product": 16, "content": 16, "etc": 16}
 BAGS = {"residence": "residence_ids", "product": "product_interest_ids", "content": "content_interest_ids", "etc": "etc_segment_ids"}
@@ -119,8 +120,9 @@ class Pool(Scenario):
         return held if until == "train" else self.make("encode", lambda: encode(self.spark, self.encoder, out))
 
 
-def encode(spark: SparkSession, encoder: str, rows: DataFrame) -> DataFrame:
-    """(device_ifa, z) of segment features, by a saved encoder."""
+def encode(spark: SparkSession, encoder: str, rows: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """(device_ifa, z) of segment features, by a saved encoder; of devices that ``held`` does not have, if it is given."""
+    rows = rows if held is None else populations.append_new(held, rows)
     dims = models.about_model(spark, f"{encoder}/model")["dims"]
     table, vocabulary = spark.read.parquet(f"{encoder}/lookup"), spark.read.parquet(f"{encoder}/vocabulary")
     return models.load_model(spark, f"{encoder}/model").encode(encoder_inputs(rows, table, vocabulary, dims))
@@ -140,7 +142,7 @@ class Seeds(Scenario):
     def __init__(self, spark: SparkSession, layout: runs.Layout, name: str, pool: Pool, seeds: dict[str, DataFrame], periods: list[tuple[str, str]], id_mode: str = "auto", top_percent: float = 10.0, union_target: int | None = None, fit: dict | None = None, table: str | None = None, force: bool = False) -> None:
         """``seeds``: seed_id by label. ``id_mode``: auto, direct, crosswalk:uuid or crosswalk:platform_ad_id. ``table``: the
         name that results are published under, if any."""
-        stages = SEED_STAGES if table else SEED_STAGES[:-1]
+        stages = tuple(s for s in SEED_STAGES if (s != "publish" or table) and (s != "overlap" or len(seeds) > 1))
         super().__init__(spark, layout, layout.run(name, periods), stages, force)
         if not re_mode(id_mode):
             raise ValueError(f"auto, direct, crosswalk:uuid or crosswalk:platform_ad_id, not {id_mode}")
@@ -223,7 +225,19 @@ class Seeds(Scenario):
             return selection.top_masks(ranks, names, percent)
 
         scores = self.make("score", score, top_percent=self.top_percent, union_target=self.union_target)
-        if self.table and until != "score":
+        if until == "score":
+            return scores
+
+        def lists() -> DataFrame:
+            """(label, device_ifa, score): each label's own list, and the union under the name of all."""
+            own = [scores.where(f"in_{k} = 1").select(F.lit(k).alias("label"), "device_ifa", F.col(f"score_{k}").alias("score")) for k in names]
+            whole = selection.union_output(scores, names).select(F.lit("+".join(names)), "device_ifa", F.greatest(*[F.col(f"score_{k}") for k in names], F.lit(0.0)))
+            return reduce(DataFrame.union, [*own, whole])
+
+        self.make("lists", lists)
+        if len(names) > 1 and until != "lists":
+            self.make("overlap", lambda: selection.overlaps(scores, names, [self.top_percent * i / 5 for i in range(1, 6)]))
+        if self.table and until is None or until == "publish":
             self.make("publish", lambda: spark.createDataFrame([(self.table, sources.publish(selection.union_output(scores, names), self.table))], "table string, rows bigint"))
         return scores
 

@@ -93,3 +93,56 @@ def test_guarded_writes(spark, tmp_path):
         sources.write_rows(spark.range(1), "/elsewhere/x", str(tmp_path))
     with pytest.raises(ValueError):
         sources.seed_table(spark, "a=b")
+
+
+def test_no_task_holds_a_whole_table(spark):
+    """Windows are over parts or over a row a part; percentiles are found from counts."""
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("device_ifa"), F.rand(1).alias("score_a"), F.rand(2).alias("score_b"), (F.col("id") % 9 == 0).cast("int").alias("y"))
+    ranks = selection.ranked(rows, ["a", "b"])
+    made = (labels.auc(rows, "score_a", "y"), labels.spearman(rows, "score_a", "score_b"), labels.lift(rows, "score_a", "y", 10), selection.top_share(rows, "score_a", 10), ranks, selection.percent_for_union(ranks, ["a", "b"], 150))
+    for df in made:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "percentile" not in plan
+        for line in plan.splitlines():
+            if "Window [" in line:
+                assert "_part#" in line.split("windowspecdefinition(", 1)[1] or "i#" in line
+    assert made[3].count() == 100
+    sizes = {r.pct: r.n_union for r in [selection.percent_for_union(ranks, ["a", "b"], 150).first()]}
+    assert abs(list(sizes.values())[0] - 150) <= 2
+
+
+def test_percentile_is_the_exact_one(spark):
+    from kindred.operators.ranking import percentile, running
+
+    for n, seed in ((1, 1), (2, 2), (37, 3), (400, 4)):
+        rows = spark.range(n).select(F.round(F.rand(seed) * 20).alias("x")).union(spark.createDataFrame([(None,)], "x double"))
+        for share in (0.0, 0.33, 0.5, 0.9, 1.0):
+            assert percentile(rows, "x", share).first().value == pytest.approx(rows.agg(F.percentile("x", share)).first()[0])
+    assert percentile(spark.createDataFrame([], "x double"), "x", 0.5).first().value is None
+    sums = running(spark.range(100).withColumn("w", F.col("id") % 5), [F.desc("id")], "w", "run")
+    assert [r.run for r in sums.orderBy(F.desc("id")).limit(4).collect()] == [4, 7, 9, 10]
+
+
+def test_period_key():
+    assert K.period_key([("2024-03-01", "2024-03-31"), ("2024-01-01", "2024-01-31")]) == "2024-01-01_2024-01-31+2024-03-01_2024-03-31"
+
+
+def test_seed_lists_by_pattern(spark, tmp_path):
+    for i, text in enumerate(("id\na\nb\n", "id\nc\n")):
+        (tmp_path / f"{i}.csv").write_text(text)
+    assert sorted(r[0] for r in sources.seed_list(spark, f"{tmp_path}/*.csv").collect()) == ["a", "b", "c"]
+
+
+def test_token_vectors(spark):
+    rows = spark.createDataFrame([(0,), (1,), (2,), (9,), (None,)], "idx int")
+    assert [r.v for r in features.token_vectors(rows, "idx", [[5.0, 5.0], [1.0, 2.0], [3.0, 4.0]]).collect()] == [[0.0, 0.0], [1.0, 2.0], [3.0, 4.0], [0.0, 0.0], [0.0, 0.0]]
+
+
+def test_appended_stream(spark, tmp_path):
+    from kindred.streaming import append_stream
+
+    schema = "device_ifa string, v int"
+    for i, rows in enumerate(([("a", 1), ("b", 2), ("a", 1)], [("b", 3), ("c", 4)])):
+        spark.createDataFrame(rows, schema).write.mode("append").json(str(tmp_path / "in"))
+        append_stream(spark, spark.readStream.schema(schema).json(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "at")).awaitTermination()
+        assert sorted(r.device_ifa for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"][: 2 + i]

@@ -54,7 +54,12 @@ def test_runs(spark, config, capsys):
     assert out.count() == N - 60 and out.agg(F.sum("in_a")).first()[0] == round((N - 60) * 0.2)
     assert runs.registered_seeds(spark, runs.Layout(held["root"])).count() == 60
     states = {(r.name, r.status) for r in runs.lineage(spark, f"{held['root']}/runs/r1/2024-02-01_2024-03-31").collect()}
-    assert states == {(s, "ok") for s in ("seed", "candidate", "encode", "train", "score")}
+    assert states == {(s, "ok") for s in ("seed", "candidate", "encode", "train", "score", "lists", "overlap")}
+    lists = {r.label: r["count"] for r in spark.read.parquet(f"{held['root']}/runs/r1/2024-02-01_2024-03-31/lists").groupBy("label").count().collect()}
+    assert lists["a"] == lists["b"] == 36 and 36 <= lists["a+b"] <= 72
+    pool = spark.read.parquet(f"{held['root']}/pools/p1/pool")
+    done = spark.read.parquet(f"{held['root']}/pools/p1/encode").limit(200)
+    assert scenarios.encode(spark, f"{held['root']}/encoders/e1", pool, done).count() == N - 200
 
 
 def test_another_encoder_is_refused(spark, config):
