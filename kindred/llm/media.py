@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from kindred.llm import webp
 from kindred.llm.common import text_of
 
-WIDTH, UNIT = 16, 64
-#: Bytes in an image of the largest height; a longer payload is stored as several images one after another.
-TILE = WIDTH * 4 * 16384
+WIDTH, UNIT = 64, 64
+#: Bytes in an image; a longer payload is stored as several images one after another.
+TILE = WIDTH * 4096
+#: References are sought where they leave so much of the size at most; the search costs more than the rest together.
+PAYS = 0.8
+LEVELS = np.arange(256)
 
 
 def payload(text: str) -> tuple[int, bytes]:
@@ -26,13 +29,35 @@ def payload(text: str) -> tuple[int, bytes]:
     return len(raw), raw + bytes(-len(raw) % UNIT if raw else UNIT)
 
 
+def _refers(data: bytes) -> bool:
+    """Whether references pay, as a fast compressor has it with and without them."""
+    plain = zlib.compressobj(1, wbits=-15, strategy=zlib.Z_HUFFMAN_ONLY)
+    return len(zlib.compress(data, 1, -15)) < PAYS * len(plain.compress(data) + plain.flush())
+
+
+def encoded(x: np.ndarray) -> bytes:
+    """A grey image (rows of WIDTH bytes) in the form of those that may pay that is shortest. Grey leaves one channel
+    after red and blue have lost green; equal runs of it refer back where that shortens it enough. A palette, which packs
+    pixels, is tried up to 16 levels, and a prediction from the left or from above where its rest is more alike. With one
+    channel alone neither cross-colour nor a colour cache can pay."""
+    pixels = np.empty((*x.shape, 4), np.uint8)
+    pixels[..., :3], pixels[..., 3] = x[..., None], 255
+    forms: list[dict] = [{"transforms": (webp.GREEN,)}]
+    counts = np.bincount(x.ravel(), minlength=256)
+    if np.count_nonzero(counts) <= 16:
+        forms.append({"transforms": (webp.PALETTE,)})
+    # chances that two bytes drawn are equal
+    steps = [np.bincount(np.diff(x, axis=a).ravel(), minlength=256) for a in (1, 0)]
+    rest, mode = max((float(n @ n) / max(1, n.sum()) ** 2, k) for k, n in enumerate(steps, 1))
+    if rest > 1.5 * float(counts @ counts) / x.size**2:
+        forms.append({"transforms": (webp.GREEN, webp.PREDICTOR), "block": 9, "modes": np.asarray(mode)})
+    refers = _refers(x.tobytes())
+    return min((webp.encode(pixels, references=refers, **f) for f in forms), key=len)
+
+
 def store(data: bytes) -> bytes:
-    """Images of 16 pixels, of 4 bytes each, a row; a pixel's bytes are its green, red, blue and alpha."""
-    out = []
-    for at in range(0, len(data), TILE):
-        x = np.frombuffer(data[at : at + TILE], np.uint8).reshape(-1, WIDTH, 4)
-        out.append(webp.encode(x[..., [1, 0, 2, 3]]))
-    return b"".join(out)
+    """Grey images of WIDTH bytes a row."""
+    return b"".join(encoded(np.frombuffer(data[at : at + TILE], np.uint8).reshape(-1, WIDTH)) for at in range(0, len(data), TILE))
 
 
 def read(stored: bytes) -> list[np.ndarray]:
@@ -45,19 +70,31 @@ def read(stored: bytes) -> list[np.ndarray]:
     return out
 
 
-def feature(pixels: list[np.ndarray]) -> str:
-    """Images, pixels, the channels' means and standard deviations, and the share of the commonest of 16 levels."""
-    x = np.concatenate([p.reshape(-1, 4) for p in pixels])
-    level = np.bincount(x.ravel() >> 4, minlength=16)
-    return f"{len(pixels)}|{len(x)}|" + ",".join(f"{v:.3f}" for v in (*x.mean(axis=0), *x.std(axis=0))) + f"|{level.argmax()}:{level.max() / level.sum():.4f}"
+def back(pixels: list[np.ndarray]) -> np.ndarray:
+    """The payload's bytes, rows of WIDTH, from grey images' pixel arrays."""
+    for p in pixels:
+        if (p.view("<u4")[..., 0] != p[..., 1] * np.uint32(0x10101) + np.uint32(0xFF000000)).any():
+            raise ValueError("not a grey image")
+    return np.concatenate([p[..., 1] for p in pixels])
+
+
+def feature(x: np.ndarray, images: int) -> str:
+    """Images, pixels, mean, standard deviation, mean step to the next pixel, and the commonest of 16 levels with its
+    share."""
+    n = np.bincount(x.ravel(), minlength=256)
+    mean, level = float(n @ LEVELS) / x.size, n.reshape(16, 16).sum(axis=1)
+    step = np.maximum(x[:, 1:], x[:, :-1]) - np.minimum(x[:, 1:], x[:, :-1])
+    values = (mean, max(0.0, float(n @ LEVELS**2) / x.size - mean**2) ** 0.5, float(step.sum(dtype=np.int64)) / step.size)
+    return f"{images}|{x.size}|" + ",".join(f"{v:.3f}" for v in values) + f"|{level.argmax()}:{level.max() / x.size:.4f}"
 
 
 def _row(text: str) -> tuple:
     n, data = payload(text)
     stored = store(data)
     pixels = read(stored)
-    back = b"".join(p[..., [1, 0, 2, 3]].tobytes() for p in pixels)
-    return n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-UNIT:]), len(stored), hashlib.sha256(stored).hexdigest(), feature(pixels), stored
+    x = back(pixels)
+    got = x.tobytes()
+    return n, len(got), hashlib.sha256(got).hexdigest(), zlib.crc32(got[-UNIT:]), len(stored), hashlib.sha256(stored).hexdigest(), feature(x, len(pixels)), stored
 
 
 def _stored(keep: bool):
@@ -78,7 +115,7 @@ def store_media(docs: DataFrame, keep: bool = True, id_col: str = "doc_id", text
     """One row for each input row: doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes,
     media_sha256, feature, and with ``keep`` the stored ``media``.
 
-    Null text is empty text, whose payload is 64 zeros; payloads above a mebibyte become several images. The hashes
+    Null text is empty text, whose payload is 64 zeros; payloads above TILE bytes become several images. The hashes
     are of bytes that were read back from the stored form. Equal texts have equal values; rows that repeat an id or
     have none are rows of their own; an empty table gives an empty result; other columns, whatever their names, are
     not read."""
