@@ -1,9 +1,10 @@
 """Personal data by rules, and by a character-level bidirectional LSTM with CRF transitions that adds what rules miss.
 
-The network is trained in numpy from labelled spans. Overlapping windows are decoded together; each span is taken from
-the window that has its middle nearest to its own, and what overlaps is settled over the whole text: spans by rule stay,
-then longer ones go first. Every kind holds a digit or an ``@``, so that a window without either has no span by
-definition and is not run.
+The network is trained in numpy from labelled spans: windows of the corpus itself, labelled by the rules, and made ones in
+forms that the rules do not know. A text's overlapping windows give one lattice: where two windows overlap their emissions
+are averaged, each weighing more towards its middle, and one Viterbi path runs through them all. What overlaps is settled
+over the whole text: spans by rule stay, then longer ones go first. Every kind holds a digit or an ``@``, so that a window
+without either has no span by definition and is not run.
 """
 
 from __future__ import annotations
@@ -23,7 +24,10 @@ from kindred.llm.common import text_of
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = 1 + 2 * len(KINDS)  # outside, then begin and inside of each kind
-WINDOW, STRIDE, HIDDEN = 96, 48, 12
+WINDOW, HIDDEN = 96, 20
+STRIDE = WINDOW // 2
+#: Windows of the corpus that the network is trained on at most, and made ones.
+SAMPLE, MADE = 1500, 2000
 SIGN = re.compile("[0-9@]")
 # The same matches as the plain patterns, without trying a run of digits again from its middle.
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
@@ -132,18 +136,18 @@ class Network:
             keep |= kept | {"h": h}
         return h @ self.p["out"] + self.p["bias"]
 
-    def decode(self, ids: np.ndarray) -> np.ndarray:
-        """The best tags (time, rows) by Viterbi."""
-        e, move = self.emissions(ids), self.p["move"]
+    def best(self, e: np.ndarray) -> np.ndarray:
+        """The best tags (time, rows) of tag scores (time, rows, TAGS), by Viterbi."""
+        move = self.p["move"]
         back = np.empty(e.shape, np.int8)
         score = e[0]
         for t in range(1, len(e)):
             both = score[:, :, None] + move
             back[t] = both.argmax(axis=1)
             score = both.max(axis=1) + e[t]
-        out = np.empty(ids.shape, np.int64)
+        out = np.empty(e.shape[:2], np.int64)
         out[-1] = score.argmax(axis=1)
-        rows = np.arange(ids.shape[1])
+        rows = np.arange(e.shape[1])
         for t in range(len(e) - 1, 0, -1):
             out[t - 1] = back[t][rows, out[t]]
         return out
@@ -153,44 +157,48 @@ class Network:
         keep: dict = {}
         e, move = self.emissions(ids, keep).astype(np.float64), self.p["move"].astype(np.float64)
         n, rows = e.shape[:2]
-        log_sum = lambda x, axis: (m := x.max(axis=axis)) + np.log(np.exp(x - np.expand_dims(m, axis)).sum(axis=axis))
-        a, b = np.empty(e.shape), np.zeros(e.shape)
-        a[0] = e[0]
-        for t in range(1, n):
-            a[t] = log_sum(a[t - 1][:, :, None] + move, 1) + e[t]
+        # forward and backward in probabilities, each time's scaled to a sum of 1
+        high, top = e.max(axis=2), move.max()
+        em, m = np.exp(e - high[:, :, None]), np.exp(move - top)
+        a, b, c = np.empty(e.shape), np.ones(e.shape), np.empty((n, rows))
+        for t in range(n):
+            x = (a[t - 1] @ m) * em[t] if t else em[t]
+            c[t] = x.sum(axis=1)
+            a[t] = x / c[t][:, None]
         for t in range(n - 2, -1, -1):
-            b[t] = log_sum(move + (e[t + 1] + b[t + 1])[:, None, :], 2)
-        z = log_sum(a[-1], 1)
+            b[t] = ((em[t + 1] * b[t + 1]) @ m.T) / c[t + 1][:, None]
+        z = np.log(c).sum(axis=0) + high.sum(axis=0) + (n - 1) * top
         at = np.arange(rows)
-        gold = sum(e[t][at, tags[t]] + (move[tags[t - 1], tags[t]] if t else 0) for t in range(n))
-        de = np.exp(a + b - z[:, None])
-        dmove = np.zeros_like(move)
-        for t in range(1, n):
-            dmove += np.exp(a[t - 1][:, :, None] + move + (e[t] + b[t])[:, None, :] - z[:, None, None]).sum(axis=0)
-            np.add.at(dmove, (tags[t - 1], tags[t]), -1)
+        gold = e[np.arange(n)[:, None], at, tags].sum(axis=0) + move[tags[:-1], tags[1:]].sum(axis=0)
+        de = a * b
+        after = (em * b / c[:, :, None])[1:].reshape(-1, TAGS)
+        dmove = m * (a[:-1].reshape(-1, TAGS).T @ after)
+        dmove -= np.bincount((tags[:-1] * TAGS + tags[1:]).ravel(), minlength=TAGS * TAGS).reshape(TAGS, TAGS)
         de[np.arange(n)[:, None], at, tags] -= 1
         scale = 1 / (n * rows)
         de = (de * scale).astype(np.float32)
         k = self.p["hf"].shape[0]
         dh = de @ self.p["out"].T
-        g = {"move": (dmove * scale).astype(np.float32), "bias": de.sum(axis=(0, 1)), "out": np.einsum("trh,trg->hg", keep["h"], de)}
+        g = {"move": (dmove * scale).astype(np.float32), "bias": de.sum(axis=(0, 1)), "out": np.tensordot(keep["h"], de, axes=([0, 1], [0, 1]))}
         for d, own, order in (("f", dh[..., :k], ids), ("b", dh[..., k:][::-1], ids[::-1])):
             g["x" + d], g["h" + d] = self._back(order, own, keep[d], d)
         return float((z - gold).sum() * scale), g
 
     def _back(self, ids: np.ndarray, dh: np.ndarray, kept: list, d: str) -> tuple[np.ndarray, np.ndarray]:
         u = self.p["h" + d]
-        gx, gu = np.zeros_like(self.p["x" + d]), np.zeros_like(u)
-        h = c = np.zeros((ids.shape[1], u.shape[0]), np.float32)
+        h = c = np.zeros((ids.shape[1], u.shape[0]), u.dtype)
+        dz = np.empty((*ids.shape, u.shape[1]), u.dtype)
         for t in range(len(ids) - 1, -1, -1):
-            i, f, o, g, was, s, before = kept[t]
+            i, f, o, g, was, s, _ = kept[t]
             h = h + dh[t]
             c = c + h * o * (1 - s * s)
-            dz = np.concatenate([c * g * i * (1 - i), c * was * f * (1 - f), h * s * o * (1 - o), c * i * (1 - g * g)], axis=1)
-            np.add.at(gx, ids[t], dz)
-            gu += before.T @ dz
-            h, c = dz @ u.T, c * f
-        return gx, gu
+            dz[t] = np.concatenate([c * g * i * (1 - i), c * was * f * (1 - f), h * s * o * (1 - o), c * i * (1 - g * g)], axis=1)
+            h, c = dz[t] @ u.T, c * f
+        flat = dz.reshape(-1, u.shape[1])
+        one = np.zeros((len(flat), VOCABULARY), u.dtype)
+        one[np.arange(len(flat)), ids.ravel()] = 1
+        before = np.stack([k[-1] for k in kept]).reshape(len(flat), -1)
+        return one.T @ flat, before.T @ flat
 
 
 def tag_row(size: int, spans: Iterable[Span]) -> np.ndarray:
@@ -201,9 +209,9 @@ def tag_row(size: int, spans: Iterable[Span]) -> np.ndarray:
     return out
 
 
-def train(examples: list[tuple[str, list[Span]]], passes: int = 10, batch: int = 64, rate: float = 0.02, seed: int = 0) -> Network:
-    """Fit to texts of at most WINDOW characters with their labelled spans, by Adam."""
-    net, r = Network.new(seed), np.random.default_rng(seed)
+def train(examples: list[tuple[str, list[Span]]], passes: int = 10, batch: int = 64, rate: float = 0.02, seed: int = 0, start: Network | None = None) -> Network:
+    """Fit to texts of at most WINDOW characters with their labelled spans, by Adam; from ``start`` if it is given."""
+    net, r = Network.new(seed) if start is None else Network({k: v.copy() for k, v in start.p.items()}), np.random.default_rng(seed)
     ids, tags = np.zeros((WINDOW, len(examples)), np.int64), np.zeros((WINDOW, len(examples)), np.int64)
     for j, (text, spans) in enumerate(examples):
         ids[: len(text), j], tags[: len(text), j] = character_ids(text), tag_row(len(text), spans)
@@ -222,7 +230,7 @@ def train(examples: list[tuple[str, list[Span]]], passes: int = 10, batch: int =
     return net
 
 
-def examples(count: int = 1500, seed: int = 0) -> list[tuple[str, list[Span]]]:
+def examples(count: int = MADE, seed: int = 0) -> list[tuple[str, list[Span]]]:
     """Labelled windows made by rule: words, numbers that are nobody's, and data of each kind, also in forms that the
     rules do not know (numbers without a country's sign, spaced addresses, other separators)."""
     r = np.random.default_rng(seed)
@@ -233,7 +241,7 @@ def examples(count: int = 1500, seed: int = 0) -> list[tuple[str, list[Span]]]:
     def card() -> str:
         d = pick("4", "5", "37") + digits(12)
         d += next(c for c in "0123456789" if luhn(d + c))
-        sep = pick("", " ", "-", ".")
+        sep = pick("", "", " ", "-", ".")
         return sep.join(d[i : i + 4] for i in range(0, len(d), 4))
 
     def kind(k: int) -> str:
@@ -257,9 +265,10 @@ def examples(count: int = 1500, seed: int = 0) -> list[tuple[str, list[Span]]]:
                 text += word() + pick(" ", " ", " ", ", ", ". ", "\n")
             if (x := r.random()) < 0.45:
                 k = int(r.integers(len(KINDS)))
-                found = kind(k)
-                spans.append((len(text), k, len(text) + len(found)))
-                text += found + pick(" ", " ", ", ", ". ")
+                for _ in range(pick(1, 1, 1, 2)):  # numbers side by side are one to a rule
+                    found = kind(k)
+                    spans.append((len(text), k, len(text) + len(found)))
+                    text += found + pick(" ", " ", ", ", ". ", "### ", "!! ")
             elif x < 0.75:
                 text += nobodys() + pick(" ", " ", ", ", ". ")
         first = int(r.integers(0, max(1, len(text) - WINDOW + 1)))
@@ -267,64 +276,130 @@ def examples(count: int = 1500, seed: int = 0) -> list[tuple[str, list[Span]]]:
     return out
 
 
+def shaped(text: str, at: int) -> tuple[str, list[Span]] | None:
+    """The window of a text around ``at`` with its spans by rule, those of cards by their shape alone: the network is to
+    see numbers of that form, and the checksum decides. None where a run of digits is longer than any kind."""
+    first = max(0, at - (7 * at + len(text)) % (WINDOW - 32))
+    part = text[first : first + WINDOW]
+    cards = [(m.start(), 2, m.end()) for m in CARD.finditer(part) if m.end() - m.start() >= 14]
+    if any(len(re.sub("[^0-9]", "", part[s:e])) > 19 for s, _, e in cards):
+        return None
+    return part, sorted({x for x in by_rule(part) if x[1] != 2} | set(cards))
+
+
+def _windows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = {}
+        for text in b.column("text"):
+            end = 0
+            for m in SIGN.finditer(text := text.as_py()):
+                if m.start() >= end and (own := shaped(text, m.start())):
+                    found[own[0]] = own[1]
+                    end = m.start() + STRIDE
+        spans = [[x for s in v for x in s] for v in found.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(spans, pa.list_(pa.int32()))], ["text", "spans"])
+
+
+def labelled(texts: DataFrame, sample: int = SAMPLE) -> list[tuple[str, list[Span]]]:
+    """At most ``sample`` different windows of the column ``text`` that hold a digit or an ``@``, drawn by a hash, with
+    their spans. Copies count once."""
+    rows = texts.select("text").where(F.col("text").rlike("[0-9@]")).mapInArrow(_windows, "text string, spans array<int>")
+    rows = rows.groupBy("text").agg(F.min("spans").alias("spans")).orderBy(F.xxhash64("text"), "text").limit(sample).collect()
+    return [(r.text, [(x[i], x[i + 1], x[i + 2]) for i in range(0, len(x), 3)]) for r in rows for x in [r.spans]]
+
+
 @lru_cache(1)
 def standard() -> Network:
     """The network of the made examples; trained once a process."""
     return train(examples())
 
 
+def trained(own: list[tuple[str, list[Span]]]) -> Network:
+    """The standard network, trained further on ``own`` windows and as many made ones or more."""
+    return train(own + examples(max(500, len(own)), seed=1), passes=4, rate=0.01, start=standard()) if own else standard()
+
+
 #: Digits that a kind has at least; an address has an @.
 LEAST = (0, 4, 13, 10)
+#: The weight of a window's first half; that of the second is the rest, in reverse.
+RISING = ((np.arange(STRIDE) + 0.5) / STRIDE).astype(np.float32)[:, None]
 
 
-def by_network(net: Network, texts: list[str], batch: int = 2048) -> list[list[Span]]:
-    """Spans of whole texts: windows of WINDOW characters every STRIDE, each span from the window nearest around it."""
-    where, rows = [], []
+def lattices(net: Network, texts: list[str], batch: int = 2048) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(texts' numbers, starts, tag scores (time, rows, TAGS)): each run of windows that overlap as one sequence, runs of
+    one length together. Windows are WINDOW characters every STRIDE, where a digit or an ``@`` is in reach."""
+    whose, starts, rows = [], [], []
     for j, text in enumerate(texts):
         if not SIGN.search(text):
             continue
         ids = character_ids(text)
-        signs = np.flatnonzero((ids == _ID[48]) | (ids == _ID[64]))
-        starts = np.unique(np.concatenate([signs // STRIDE, np.maximum(signs // STRIDE - 1, 0)])) * STRIDE
-        ids = np.pad(ids, (0, WINDOW))
-        for s in starts:
-            where.append((j, int(s)))
-            rows.append(ids[s : s + WINDOW])
+        signs = np.flatnonzero((ids == _ID[48]) | (ids == _ID[64])) // STRIDE
+        own = np.unique(np.concatenate([signs, np.maximum(signs - 1, 0)])) * STRIDE
+        rows.append(np.lib.stride_tricks.sliding_window_view(np.pad(ids, (0, WINDOW)), WINDOW)[own])
+        whose.append(np.full(len(own), j))
+        starts.append(own)
+    if not rows:
+        return
+    rows, whose, starts = np.concatenate(rows), np.concatenate(whose), np.concatenate(starts)
+    e = np.concatenate([net.emissions(np.ascontiguousarray(rows[at : at + batch].T)).transpose(1, 0, 2) for at in range(0, len(rows), batch)])
+    new = np.concatenate([[True], (np.diff(whose) != 0) | (np.diff(starts) != STRIDE)])
+    # a run of n windows is n + 1 halves; the first and the last are of one window alone
+    run = np.cumsum(new) - 1
+    at = np.arange(len(rows)) + run
+    last = np.append(new[1:], True)
+    halves = np.zeros((len(rows) + int(new.sum()), STRIDE, TAGS), np.float32)
+    halves[at] += e[:, :STRIDE] * np.where(new[:, None, None], 1, RISING)
+    halves[at + 1] += e[:, STRIDE:] * np.where(last[:, None, None], 1, 1 - RISING)
+    firsts, sizes = at[new], np.bincount(run) + 1
+    for n in np.unique(sizes):
+        of = np.flatnonzero(sizes == n)
+        for low in range(0, len(of), max(1, batch // int(n))):
+            own = of[low : low + max(1, batch // int(n))]
+            part = halves[firsts[own][:, None] + np.arange(n)].reshape(len(own), -1, TAGS)
+            yield whose[new][own], starts[new][own], part.transpose(1, 0, 2)
+
+
+def by_network(net: Network, texts: list[str]) -> list[list[Span]]:
+    """Spans of whole texts, from one path through each lattice."""
     out: list[list[Span]] = [[] for _ in texts]
-    for at in range(0, len(rows), batch):
-        tags = net.decode(np.stack(rows[at : at + batch], axis=1)).T
-        for (j, s), row in zip(where[at : at + batch], tags):
-            if not row.any():
-                continue
-            i = 0
-            while i < WINDOW:
-                if not row[i]:
-                    i += 1
-                    continue
-                kind, first = (row[i] - 1) // 2, i
-                i += 1
-                while i < WINDOW and row[i] == 2 + 2 * kind:
-                    i += 1
-                middle = (first + i) // 2
-                low = 0 if s == 0 else (WINDOW - STRIDE) // 2
-                if low <= middle < (WINDOW + STRIDE) // 2 and _fits(text := texts[j][s + first : s + i], int(kind)):
+    for whose, starts, e in lattices(net, texts):
+        tags = net.best(e).T
+        for row in np.flatnonzero(tags.any(axis=1)):
+            j, base, own = int(whose[row]), int(starts[row]), tags[row]
+            # a span begins with its kind's first tag, or where another kind or none was before
+            kind = np.where(own > 0, (own + 1) // 2, 0)
+            edges = np.flatnonzero((kind[1:] != kind[:-1]) | (own[1:] % 2 == 1)) + 1
+            edges = np.concatenate([[0], edges, [len(own)]])
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                if kind[a] and _fits(text := texts[j][base + a : base + b], k := int(kind[a]) - 1):
                     lead = len(text) - len(text.lstrip())
-                    out[j].append((s + first + lead, int(kind), s + first + len(text.rstrip())))
+                    out[j].append((base + a + lead, k, base + a + len(text.rstrip())))
     return out
 
 
 def _fits(text: str, kind: int) -> bool:
     digits = sum("0" <= c <= "9" for c in text)
-    return digits >= LEAST[kind] and (kind > 0 or "@" in text[1:-1]) and (kind != 1 or len(re.findall("[0-9]+", text)) == 4) and (kind != 2 or luhn(re.sub("[^0-9]", "", text)))
+    if digits < LEAST[kind]:
+        return False
+    if kind == 0:
+        return "@" in text[1:-1]
+    if kind == 1:
+        parts = re.findall("[0-9]+", text)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    return digits <= 15 if kind == 3 else digits <= 19 and luhn(re.sub("[^0-9]", "", text))
 
 
 def settle(base: list[Span], added: list[Span]) -> list[Span]:
     """All of ``base``, and of ``added``, longer first, what overlaps nothing taken before."""
-    out, taken = list(base), [(s, e) for s, _, e in base]
+    if not added:
+        return base
+    out, taken = list(base), np.zeros(max(e for _, _, e in base + added), bool)
+    for s, _, e in base:
+        taken[s:e] = True
     for s, k, e in sorted(set(added), key=lambda x: (x[0] - x[2], x)):
-        if all(e <= a or s >= b for a, b in taken):
+        if not taken[s:e].any():
             out.append((s, k, e))
-            taken.append((s, e))
+            taken[s:e] = True
     return sorted(out)
 
 
@@ -332,14 +407,16 @@ def written(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def find_personal_data(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_personal_data(docs: DataFrame, net: Network | None = None, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each input row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added.
 
-    The counts and base_sha256 are of the spans by rule, ``spans`` has all, n_added the network's. Offsets count code
+    The counts and base_sha256 are of the spans by rule, ``spans`` has all, n_added the network's. Without ``net`` one is
+    trained on at most ``sample`` windows of these texts, and made ones. Offsets count code
     points of the whole text. Null and empty texts have no spans. Equal texts have equal values; rows that repeat an id
     or have none are rows of their own; an empty table gives an empty result; other columns, whatever their names, are
     not read."""
-    net = net or standard()
+    plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"))
+    net = net or trained(labelled(plain, sample))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -354,5 +431,4 @@ def find_personal_data(docs: DataFrame, net: Network | None = None, id_col: str
                     ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"],
                 )
 
-    plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"))
     return plain.mapInArrow(run, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint")
