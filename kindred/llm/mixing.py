@@ -99,7 +99,7 @@ def _on_rows(rows: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
     if few:
         return _on(rows, plan)
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)))
-    named = plan.withColumnRenamed("source", "its").withColumn("its_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+    named = plan.withColumnRenamed("source", "its").withColumn("its_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
     return salted.join(named.hint("merge"), salted["source"].eqNullSafe(named["its"]) & (salted["salt"] == named["its_salt"])).drop("its", "salt", "its_salt")
 
 
