@@ -153,16 +153,19 @@ def build_index(keys: DataFrame, shards: int) -> DataFrame:
     return keys.mapInPandas(_fold, FOLDED).repartition(shards, "digest").mapInPandas(_fold, FOLDED)
 
 
-def update_index(index: DataFrame, inserted: DataFrame, deleted: DataFrame, shards: int) -> DataFrame:
-    """Apply inserted rows and deleted copies (same columns) to an index; a digest without live copies goes. The first
-    row of a digest stays as it was while any copy lives."""
-    d = deleted.withColumns({"first_id": F.lit(NO_ID), "first_row": F.lit(NO_ID), "copies": -F.col("copies")})
-    rows = index.unionByName(inserted).unionByName(d).repartition(shards, "digest")
-    return rows.mapInPandas(_apply, FOLDED)
+def update_index(index: DataFrame, inserted: DataFrame, deleted: DataFrame, live: DataFrame, shards: int) -> DataFrame:
+    """Apply inserted rows and deleted rows (same columns, copies 1) to an index; a digest without live copies goes.
+    ``live`` (digest, first_id, first_row) are all rows as they are afterwards: of a digest whose first row was deleted
+    they alone tell which row is the first now, and only such digests are looked up there."""
+    gone = deleted.withColumn("copies", -F.col("copies"))
+    rows = cut(index.unionByName(inserted).unionByName(gone).repartition(shards, "digest").mapInPandas(_apply, FOLDED + ", headless boolean"), "index")
+    headless = rows.where("headless").select("digest", "copies")
+    first = live.select("digest", "first_id", "first_row").join(headless, "digest").groupBy("digest").agg(F.min(F.struct("first_id", "first_row")).alias("f"), F.first("copies").alias("copies"))
+    return rows.where("not headless").drop("headless").unionByName(first.select("digest", "f.first_id", "f.first_row", "copies"))
 
 
 def _apply(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """As ``_fold``, with deletions from the live index once no copy is left."""
+    """As ``_fold``, with deletions from the live index once no copy is left; ``headless`` if the first row went."""
     index, removed = CuckooIndex(), CuckooIndex()
     for batch in batches:
         for key, first, row, copies in zip(batch.digest, batch.first_id, batch.first_row, batch.copies):
@@ -179,9 +182,10 @@ def _apply(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             held[2] += gone[2]
             if held[2] <= 0:
                 index.delete(key)
-    out = [(k, *p) for k, p in index.items()]
+    # a deleted row that lies no later than the first live one known was the first itself
+    out = [(k, *p, (g := removed.get(k)) is not None and (g[0], g[1]) <= (p[0], p[1])) for k, p in index.items()]
     for at in range(0, len(out), 10_000):
-        yield pd.DataFrame(out[at : at + 10_000], columns=["digest", "first_id", "first_row", "copies"])
+        yield pd.DataFrame(out[at : at + 10_000], columns=["digest", "first_id", "first_row", "copies", "headless"])
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row: Column | None = None) -> DataFrame:
@@ -197,6 +201,21 @@ def _ones(keys: DataFrame) -> DataFrame:
     return keys.select("digest", F.coalesce("doc_id", F.lit(NO_ID)).alias("first_id"), F.col("row").alias("first_row"), F.lit(1).cast("bigint").alias("copies"))
 
 
+#: A digest of more than a 10,000th of all rows is hot; there are fewer than 10,000, which are broadcast.
+HOT = 10_000
+
+
+def _looked_up(keys: DataFrame, shard_rows: int) -> DataFrame:
+    """``keys`` with their digest's first row and copies. Rows of hot digests meet them where they are read, so that the
+    shuffle deals the others alone."""
+    n = keys.count()
+    index = cut(build_index(_ones(keys), max(shuffle_partitions(keys.sparkSession), -(-n // shard_rows))), "index")
+    hot = F.col("copies") > max(1, n // HOT)
+    held = keys.join(F.broadcast(index.where(hot).withColumn("is_hot", F.lit(True))), "digest", "left")
+    rest = held.where("is_hot is null").select(*keys.columns).join(index.where(~hot), "digest")
+    return held.where("is_hot").drop("is_hot").unionByName(rest)
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_rows: int = 1_000_000) -> DataFrame:
     """One row for each input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -205,9 +224,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     scan order. keep_id is null only for a group without any id. An empty table gives an empty result; other columns
     of the input, whatever their names, are not read."""
     keys = cut(digests(docs, id_col, text_col), "digests")
-    shards = max(shuffle_partitions(docs.sparkSession), -(-keys.count() // shard_rows))
-    index = build_index(_ones(keys), shards)
-    return keys.join(index, "digest").select(
+    return _looked_up(keys, shard_rows).select(
         "doc_id",
         F.when(F.col("first_id") != NO_ID, F.col("first_id")).alias("keep_id"),
         F.col("copies").alias("group_size"),
@@ -220,6 +237,4 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs``, with all their columns, that ``exact_duplicates`` keeps."""
     tagged = with_rows(docs)
     keys = cut(digests(tagged, f"r.{id_col}", f"r.{text_col}", F.col("row")), "digests")
-    shards = max(shuffle_partitions(docs.sparkSession), -(-keys.count() // shard_rows))
-    index = build_index(_ones(keys), shards)
-    return without_rows(tagged, keys.join(index, "digest").where("row <> first_row").select("row"))
+    return without_rows(tagged, _looked_up(keys, shard_rows).where("row <> first_row").select("row"))
