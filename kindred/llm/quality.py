@@ -141,14 +141,16 @@ def held_out(id_: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Forest:
     """Fit on at most ``sample`` labelled documents, drawn by a hash of the id, none of them held out. An id that is
-    labelled several times counts as 1 if its mean is 0.5 or more; null labels and ids are ignored. Without both
+    labelled several times counts as 1 if its mean is 0.5 or more; null labels and ids are ignored. Of rows that repeat
+    an id the one with the least statistics counts. Without both
     labels the score is their rate, or 0.5 without any."""
     known = labels.select(F.col(id_col).cast("bigint").alias("its"), F.col(label_col).cast("double").alias("y")).where("its is not null and y is not null")
     known = known.where(~held_out(F.col("its"))).groupBy("its").agg((F.avg("y") >= 0.5).cast("double").alias("y"))
     known = known.orderBy(F.xxhash64("its"), "its").limit(sample)
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text"))
-    # the limit bounds both what is broadcast and what comes back
-    rows = plain.join(F.broadcast(known), F.col("doc_id") == F.col("its")).select("doc_id", "y", "text").mapInArrow(_measure, "doc_id bigint, y double, x array<double>").toArrow().combine_chunks()
+    # the limit bounds what is broadcast; of rows that repeat an id one comes back, folded where they are read
+    rows = plain.join(F.broadcast(known), F.col("doc_id") == F.col("its")).select("doc_id", "y", "text").mapInArrow(_measure, "doc_id bigint, y double, x array<double>")
+    rows = rows.groupBy("doc_id").agg(F.min(F.struct("y", "x")).alias("m")).select("doc_id", "m.y", "m.x").toArrow().combine_chunks()
     if not rows.num_rows:
         return fit(np.zeros((0, STATISTICS)), np.zeros(0))
     rows = rows.sort_by("doc_id")
