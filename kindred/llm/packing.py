@@ -1,8 +1,8 @@
 """Lexical retrieval packing of whole documents into windows.
 
 Documents are packed where they are read: a shard is a run of at most ``SHARD_DOCS`` documents or ``SHARD_TOKENS`` ids
-of one input partition, so nothing is shuffled and a lost task packs the same shard again. A shard's document tails are
-indexed by a BM25 inverted index; each seed's query returns the unused neighbours that share its telling terms, and
+of one input partition, so nothing is shuffled and a lost task packs the same shard again. A shard's documents are
+indexed whole by a BM25 inverted index, though full windows are cut from the long ones first; each seed's query returns the unused neighbours that share its telling terms, and
 they fill its window greedily, the last one cut to fit.
 """
 
@@ -76,7 +76,7 @@ def pack(docs: list[np.ndarray], window: int) -> list[tuple[int, int, int, int,
         return out
     left = np.array([len(docs[d]) - start[d] for d in tails])
     unused = np.ones(len(tails), bool)
-    index = Bm25([docs[d][start[d] :] for d in tails])
+    index = Bm25([docs[d] for d in tails])
     following = 0
     for seed in range(len(tails)):
         if not unused[seed]:
