@@ -83,4 +83,25 @@ with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
        doc_id = min(doc_id) over (partition by t) as kept, sha256(t) as text_sha256
 from n""",
+    "op10_near_duplicates": r"""
+with recursive d as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), s as (
+  select doc_id, case when len(w) = 0 then []::varchar[] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) end as s from d
+), n as (
+  select doc_id, len(s) as n from s
+), u as (
+  select doc_id, hash(g) as g from (select doc_id, unnest(s) as g from s)
+), p as (
+  select a.doc_id as a, b.doc_id as b, count(*) as i from u a join u b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2
+), l as (
+  select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= 80 * (x.n + y.n - i)
+), c as (
+  select doc_id as node, doc_id as comp from n
+  union
+  select e.b, c.comp from c join (select a, b from l union all select b, a from l) e on c.node = e.a
+)
+select n.doc_id, n.n as n_shingles, min(c.comp) as component_id, n.doc_id = min(c.comp) as kept
+from n join c on c.node = n.doc_id group by n.doc_id, n.n""",
 }
