@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kindred.llm import attribution, exact_dedup, media, mixing, near_dup, packing, passages, pii, quality, sharding
+from kindred.llm import attribution, audit, exact_dedup, media, mixing, near_dup, packing, passages, pii, quality, secret_scan, sharding, whitening
 from kindred.llm.common import documents
 
 
@@ -48,7 +48,19 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(documents(spark, sf_dir), words=4)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_documents, op3_find_personal_data, op4_score_quality, op5_exact_duplicates, op6_store_media, op7_section_tokens, op8_repeated_passages, op9_shard_documents, op10_near_duplicates)}
+def op11_audit_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_find_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(documents(spark, sf_dir))
+
+
+def op13_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_documents, op3_find_personal_data, op4_score_quality, op5_exact_duplicates, op6_store_media, op7_section_tokens, op8_repeated_passages, op9_shard_documents, op10_near_duplicates, op11_audit_filters, op12_find_secrets, op13_whiten_embeddings)}
 
 ORACLE_SQL = {
     "op1_mix_sources": r"""
@@ -104,4 +116,32 @@ with recursive d as (
 )
 select n.doc_id, n.n as n_shingles, min(c.comp) as component_id, n.doc_id = min(c.comp) as kept
 from n join c on c.node = n.doc_id group by n.doc_id, n.n""",
+    "op11_audit_filters": r"""
+with d as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), l as (
+  select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id
+), m as (
+  select part, coalesce(good, false) as good, coalesce(toxic, false) as toxic,
+         (len(w) < 200)::int + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::int + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::int
+           + 8 * regexp_matches(t, '[#$%&*|]')::int + 16 * coalesce(d.doc_id > min(d.doc_id) over (partition by t), false)::int as mask
+  from d left join l on d.doc_id = l.doc_id
+), c as (
+  select part, mask, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic from m group by part, mask
+), f as (
+  select unnest(['A', 'B', 'C', 'D', 'E']) as c
+), o as (
+  select a.c || b.c || d.c || e.c || g.c as filter_order from f a, f b, f d, f e, f g
+  where len(list_distinct([a.c, b.c, d.c, e.c, g.c])) = 5
+), s as (
+  select filter_order, step::int as step, 1 << (ascii(substr(filter_order, step::int, 1)) - 65) as own,
+         coalesce(list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(substr(filter_order, i::int, 1)) - 65))), 0)::int as before
+  from o, range(1, 6) r(step)
+), x as (
+  select part, filter_order, step, own, sum(case when mask & (own | before) = 0 then n else 0 end)::bigint as kept, sum(case when mask & own > 0 and mask & before = 0 then n else 0 end)::bigint as removed,
+         sum(case when mask & own > 0 and mask & before > 0 then n else 0 end)::bigint as redundant, sum(case when mask = own then n else 0 end)::bigint as unique_fails,
+         sum(case when mask & own > 0 and mask & before = 0 then good else 0 end)::bigint as good_lost, sum(case when mask & own > 0 and mask & before = 0 then toxic else 0 end)::bigint as toxic_lost
+  from c, s group by part, filter_order, step, own
+)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) over (partition by part, own)::bigint as shapley from x""",
 }
