@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred import functions as K
@@ -40,15 +40,22 @@ def segment_features(latest: DataFrame, ids: dict[str, list[str]]) -> DataFrame:
 def vocabulary(tokens: DataFrame, column: str = "token", max_size: int | None = None, min_freq: int = 1) -> DataFrame:
     """(token, cnt, idx): by frequency, then token; indices from 2, after 0 for none and 1 for unknown.
 
-    Tokens are counted before they are ranked: the one-task rank sees a row a token."""
+    Tokens are counted before they are ranked."""
     counts = tokens.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("token")).agg(F.count("*").alias("cnt")).where(F.col("cnt") >= min_freq)
-    ranked = counts.withColumn("idx", F.row_number().over(Window.orderBy(F.desc("cnt"), "token")) + 1)
+    ranked = placed(counts, [F.desc("cnt"), F.col("token")], "idx").withColumn("idx", (F.col("idx") + 1).cast("int"))
     return ranked if max_size is None else ranked.where(F.col("idx") < max_size + 2)
 
 
+#: Rows of a lookup or vocabulary that go to the tasks whole, counted first; a larger one is joined.
+LOOKUP_ROWS = 200_000
+
+
 def encode_tokens(rows: DataFrame, column: str, vocab: DataFrame) -> DataFrame:
-    """Adds idx: 0 for null or blank, 1 for unknown."""
-    joined = rows.join(vocab.select(F.col("token").alias("_t"), "idx"), F.col(column) == F.col("_t"), "left").drop("_t")
+    """Adds idx: 0 for null or blank, 1 for unknown. The rows are not shuffled for a vocabulary that is counted to be small;
+    a large one meets the rows by token, those without one apart."""
+    known = vocab.select(F.col("token").alias("_t"), "idx")
+    few = known.count() <= LOOKUP_ROWS
+    joined = rows.join(F.broadcast(known) if few else known, F.col(column) == F.col("_t"), "left").drop("_t")
     return joined.withColumn("idx", F.when(K.not_blank(F.col(column)), F.coalesce("idx", F.lit(1))).otherwise(0))
 
 
@@ -99,8 +106,51 @@ def fold(table: DataFrame, weights: np.ndarray) -> DataFrame:
     return project(table, "vector", weights.T.tolist(), [0.0] * weights.shape[1]).withColumn("vector", F.col("out")).drop("out")
 
 
-#: Rows of a lookup that go to the tasks whole, counted first; a larger one is joined.
-LOOKUP_ROWS = 200_000
+def pool_groups(rows: DataFrame, columns: dict[str, str], lookups: dict[str, DataFrame]) -> DataFrame:
+    """Adds v_<group>: the mean vector of the last MAX_LEN IDs of each group's ``;``-joined column, 0 for none; IDs that the
+    group's lookup (segment_id, vector) does not have are left out. All groups are pooled in one pass over the rows, with
+    the lookups, counted to be small, in every task; none of the rows are shuffled. Larger lookups are joined."""
+    if any(t.count() > LOOKUP_ROWS for t in lookups.values()):
+        return _pooled_by_join(rows, columns, lookups)
+    held = {}
+    for g, t in lookups.items():
+        own = t.select("segment_id", "vector").toPandas()
+        dims = len(own.vector.iloc[0]) if len(own) else 0
+        held[g] = (pa.array(own.segment_id, pa.string()), np.concatenate([np.stack(own.vector.to_numpy()) if len(own) else np.zeros((0, dims)), np.zeros((1, dims))]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = b
+            for g, column in columns.items():
+                names, matrix = held[g]
+                bags = pc.split_pattern(pc.fill_null(b.column(column), ""), ";")
+                items, size = bags.flatten(), pc.list_value_length(bags).to_numpy(zero_copy_only=False).astype(np.int64)
+                owner = np.repeat(np.arange(b.num_rows), size)
+                at = pc.fill_null(pc.index_in(items, value_set=names), -1).to_numpy(zero_copy_only=False)
+                place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+                keep = (at >= 0) & (place >= np.repeat(size, size) - MAX_LEN[g])
+                total = np.zeros((b.num_rows, matrix.shape[1]))
+                np.add.at(total, owner[keep], matrix[at[keep]])
+                n = np.bincount(owner[keep], minlength=b.num_rows)
+                flat = (total / np.maximum(n, 1)[:, None]).ravel()
+                offsets = np.arange(b.num_rows + 1, dtype=np.int32) * matrix.shape[1]
+                out = out.append_column(f"v_{g}", pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
+            yield out
+
+    schema = ", ".join([*[f"`{n}` {t}" for n, t in rows.dtypes], *[f"`v_{g}` array<double>" for g in columns]])
+    return rows.mapInArrow(run, schema)
+
+
+def _pooled_by_join(rows: DataFrame, columns: dict[str, str], lookups: dict[str, DataFrame]) -> DataFrame:
+    out = rows
+    for g, column in columns.items():
+        own = K.last_items(F.split(F.coalesce(column, F.lit("")), ";"), MAX_LEN[g])
+        table = lookups[g].select("segment_id", "vector")
+        dims = table.agg(F.max(F.size("vector"))).first()[0] or 0
+        items = rows.select("device_ifa", F.explode_outer(own).alias("segment_id")).join(table, "segment_id", "left").select("device_ifa", F.posexplode_outer("vector").alias("d", "x"))
+        means = items.groupBy("device_ifa", "d").agg(F.avg("x").alias("x")).groupBy("device_ifa").agg(F.sort_array(F.collect_list(F.when(F.col("d").isNotNull(), F.struct("d", "x")))).alias("v"))
+        out = out.join(means.select("device_ifa", F.when(F.size("v") > 0, F.col("v.x")).otherwise(F.array_repeat(F.lit(0.0), dims)).alias(f"v_{g}")), "device_ifa")
+    return out
 
 
 def bag_means(bags: DataFrame, vectors: DataFrame, dims: int) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.operators.ranking import counted, percentile, running
+from kindred.operators.ranking import counted, percentile, running, tied_places
 
 
 def shuffled(seed: int, id_col: str = "device_ifa") -> list[Column]:
@@ -44,25 +44,26 @@ def class_weights(rows: DataFrame, column: str = "label") -> DataFrame:
     return rows.join(F.broadcast(sizes), column)  # a row a class
 
 
-def _ordered(rows: DataFrame, seed: int, by: list[str]) -> DataFrame:
+def random_places(rows: DataFrame, seed: int, by: list[str]) -> DataFrame:
     """Adds rn, the place in a fixed random order within ``by``, counted by parts of the hash so that no task holds all."""
     part = F.substring(shuffled(seed)[0], 1, 3)
     tagged = rows.withColumn("_part", part)
     w = Window.partitionBy(*by).orderBy("_part") if by else Window.orderBy("_part")
     sizes = tagged.groupBy(*by, "_part").count().select(*by, "_part", (F.sum("count").over(w) - F.col("count")).alias("_before"))
     own = F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*shuffled(seed)))
-    return tagged.withColumn("_n", own).join(F.broadcast(sizes), [*by, "_part"]).withColumn("rn", F.col("_before") + F.col("_n")).drop("_part", "_n", "_before")
+    # the rows are dealt by these keys already; the counts come to them, and are not copied to all tasks
+    return tagged.withColumn("_n", own).join(sizes.hint("merge"), [*by, "_part"]).withColumn("rn", F.col("_before") + F.col("_n")).drop("_part", "_n", "_before")
 
 
 def random_split(rows: DataFrame, share: float, seed: int = 42) -> DataFrame:
     n = int(rows.count() * share)
-    return _ordered(rows, seed, []).withColumn("split", F.when(F.col("rn") <= n, "val").otherwise("train")).drop("rn")
+    return random_places(rows, seed, []).withColumn("split", F.when(F.col("rn") <= n, "val").otherwise("train")).drop("rn")
 
 
 def stratified_split(rows: DataFrame, code: str, share: float, seed: int = 42) -> DataFrame:
     """Validation takes each stratum's share, halves to even."""
     sizes = rows.groupBy(code).agg(F.bround(F.count("*") * share).cast("bigint").alias("_v"))
-    return _ordered(rows, seed, [code]).join(F.broadcast(sizes), code).withColumn("split", F.when(F.col("rn") <= F.col("_v"), "val").otherwise("train")).drop("rn", "_v")
+    return random_places(rows, seed, [code]).join(F.broadcast(sizes), code).withColumn("split", F.when(F.col("rn") <= F.col("_v"), "val").otherwise("train")).drop("rn", "_v")
 
 
 def three_way_split(rows: DataFrame, code: str, val: float = 0.1, test: float = 0.1, seed: int = 42) -> DataFrame:
@@ -70,18 +71,18 @@ def three_way_split(rows: DataFrame, code: str, val: float = 0.1, test: float =
     n = F.count("*")
     sizes = rows.groupBy(code).agg(F.floor(n * test).alias("_t"), F.floor(n * val).alias("_v"))
     split = F.when(F.col("rn") <= F.col("_t"), "test").when(F.col("rn") <= F.col("_t") + F.col("_v"), "val").otherwise("train")
-    return _ordered(rows, seed, [code]).join(F.broadcast(sizes), code).withColumn("split", split).drop("rn", "_t", "_v")
+    return random_places(rows, seed, [code]).join(F.broadcast(sizes), code).withColumn("split", split).drop("rn", "_t", "_v")
 
 
 def undersample(rows: DataFrame, ratio: int = 20, seed: int = 42, column: str = "label") -> DataFrame:
     """All positives and at most ``ratio`` negatives for each, in a fixed random order."""
     most = rows.where(F.col(column) > 0).count() * ratio
-    return rows.where(F.col(column) > 0).unionByName(_ordered(rows.where(F.col(column) <= 0), seed, []).where(F.col("rn") <= most).drop("rn"))
+    return rows.where(F.col(column) > 0).unionByName(random_places(rows.where(F.col(column) <= 0), seed, []).where(F.col("rn") <= most).drop("rn"))
 
 
 def subsample(rows: DataFrame, most: int, seed: int = 42) -> DataFrame:
     """At most ``most`` rows, 0 for all."""
-    return rows if most <= 0 else _ordered(rows, seed, []).where(F.col("rn") <= most).drop("rn")
+    return rows if most <= 0 else random_places(rows, seed, []).where(F.col("rn") <= most).drop("rn")
 
 
 def average_ranks(rows: DataFrame, column: str, alias: str) -> DataFrame:
@@ -98,9 +99,17 @@ def auc(rows: DataFrame, score: str, label: str) -> DataFrame:
 
 
 def spearman(rows: DataFrame, a: str, b: str) -> DataFrame:
-    x, y = average_ranks(rows, a, "ra").withColumnRenamed("value", "va"), average_ranks(rows, b, "rb").withColumnRenamed("value", "vb")
-    both = rows.select(F.col(a).alias("va"), F.col(b).alias("vb")).join(x, "va").join(y, "vb")
-    return both.agg(F.round(F.corr("ra", "rb"), 6).alias("spearman"))
+    """One row (spearman): the correlation of mean places, null where a column has one value. Rows with a null in either
+    are left out.
+
+    Equal pairs are counted before anything is ordered. A value that many rows share lies in as many runs of the order as it
+    fills; its place is worked out over runs, and each run's rows meet it by run and value."""
+    pairs = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(F.count("*").alias("w"))
+    both = tied_places(tied_places(pairs, "a", "b", "w", "ra"), "b", "a", "w", "rb")
+    n = both.agg(F.sum("w").alias("n")).select(((F.col("n") + 1) / 2).alias("mid"))
+    x, y, w = F.col("ra") - F.col("mid"), F.col("rb") - F.col("mid"), F.col("w")
+    sums = both.join(F.broadcast(n)).agg(F.sum(w * x * y).alias("xy"), F.sum(w * x * x).alias("xx"), F.sum(w * y * y).alias("yy"))  # a row joins
+    return sums.select(F.round(F.try_divide("xy", F.sqrt(F.col("xx") * F.col("yy"))), 6).alias("spearman"))
 
 
 def lift(rows: DataFrame, score: str, label: str, percent: float) -> DataFrame:

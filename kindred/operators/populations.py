@@ -10,13 +10,28 @@ from pyspark.sql import functions as F
 from kindred import functions as K
 
 
-def latest_segments(snapshots: DataFrame) -> DataFrame:
-    """(device_ifa, segments): the latest snapshot of each ID of type 2; ties on a day go to the greater text.
+def _newest(rows: DataFrame) -> DataFrame:
+    w = Window.partitionBy("device_ifa").orderBy(F.desc("seen"), F.desc_nulls_last("segments"))
+    return rows.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
+
+
+def latest_snapshots(snapshots: DataFrame) -> DataFrame:
+    """(device_ifa, segments, seen): the latest snapshot of each ID of type 2 and its day; ties on a day go to the greater
+    text.
 
     Filters stand below the window, where they reach the scan; rank 1 becomes a limit within groups before the shuffle."""
     rows = snapshots.where(~((F.col("year") == "2024") & (F.col("month") == "12") & (F.col("day") == "31")) & (F.col("id_type").cast("string") == "2") & K.not_blank(F.col("ad_id")))
-    w = Window.partitionBy("ad_id").orderBy(F.desc("year"), F.desc("month"), F.desc("day"), F.desc_nulls_last("segments"))
-    return rows.withColumn("rn", F.row_number().over(w)).where("rn = 1").select(F.col("ad_id").alias("device_ifa"), "segments")
+    return _newest(rows.select(F.col("ad_id").alias("device_ifa"), "segments", F.concat_ws("-", "year", "month", "day").alias("seen")))
+
+
+def latest_segments(snapshots: DataFrame) -> DataFrame:
+    """(device_ifa, segments) of ``latest_snapshots``."""
+    return latest_snapshots(snapshots).drop("seen")
+
+
+def merge_latest(held: DataFrame, new: DataFrame) -> DataFrame:
+    """Both ``latest_snapshots``' rows, of disjoint days, as of one table: the later day of each device stays."""
+    return _newest(held.unionByName(new))
 
 
 def seed_source(seeds: DataFrame, column: str, uuid_only: bool = True) -> DataFrame:

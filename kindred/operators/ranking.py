@@ -39,6 +39,20 @@ def running(rows: DataFrame, order: list[Column], weight: str, name: str) -> Dat
     return t.join(_before(t, F.sum(weight)), "_part").withColumn(name, F.col("_before") + own).drop("_part", "_own", "_before")
 
 
+def tied_places(rows: DataFrame, column: str, then: str, weight: str, name: str) -> DataFrame:
+    """Adds ``name``, the mean place of each value of ``column`` when every row stands for ``weight`` rows.
+
+    Rows are dealt by ``column``, then ``then``, so that a frequent value fills several runs. Counts by run and value tell
+    what each value starts from and how often it comes; they are joined by run and value, so that its rows stay spread."""
+    t = _dealt(rows, [F.col(column), F.col(then)])
+    runs = t.groupBy("_part", column).agg(F.sum(weight).alias("_c")).join(_before(t, F.sum(weight)), "_part")
+    # a value's rows within a run follow those of lesser values there; later runs of it are its own alone
+    upto = F.sum("_c").over(Window.partitionBy("_part").orderBy(column)) - F.col("_c") + F.col("_before")
+    own = Window.partitionBy(column)
+    places = runs.withColumn("_low", upto).select("_part", column, (F.min("_low").over(own) + (F.sum("_c").over(own) + 1) / 2).alias(name))
+    return t.join(places, ["_part", column]).drop("_part", "_own")
+
+
 def counted(rows: DataFrame, column: str) -> DataFrame:
     """(value, cnt, run): how often each value comes, and how many rows have it or a lesser one. Nulls are left out."""
     counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("cnt"))

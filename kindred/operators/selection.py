@@ -34,17 +34,17 @@ def top_masks(ranks: DataFrame, labels: list[str], percent: float) -> DataFrame:
     return ranks.select("*", *[(F.col(f"r_{k}") <= m).cast("int").alias(f"in_{k}") for k in labels])
 
 
-def percent_for_union(ranks: DataFrame, labels: list[str], target: int, step: float = 0.001, at_least: bool = False) -> DataFrame:
-    """One row (pct, n_union): on the grid of ``step``, the smallest share whose union is nearest to ``target``, or with
+def percent_for_union(ranks: DataFrame, labels: list[str], target: int, step: float = 0.001, at_least: bool = False, least: float = 0.01) -> DataFrame:
+    """One row (pct, n_union): on the grid of ``step`` from ``least`` to 100, the smallest share whose union is nearest to ``target``, or with
     ``at_least`` the smallest that reaches it, 100 if none does.
 
     Each row is counted at the first share of the grid that takes it by any label; a union is the sum up to a share."""
-    spark, total, last = ranks.sparkSession, ranks.count(), round(100 / step)
+    spark, total, first, last = ranks.sparkSession, ranks.count(), round(least / step), round(100 / step)
     best = F.least(*[F.col(f"r_{k}") for k in labels]) if len(labels) > 1 else F.col(f"r_{labels[0]}")
     near = F.ceil((best - F.lit(0.5)) * (100 / (max(total, 1) * step))).cast("bigint")
     taken = [F.when((near + i >= 1) & (places(total, (near + i) * F.lit(step)) >= best), near + i) for i in range(-2, 3)]
-    counts = ranks.groupBy(F.coalesce(*taken).alias("i")).agg(F.count("*").alias("n"))
-    ends = spark.createDataFrame([(1, 0), (last, 0)], "i bigint, n bigint")
+    counts = ranks.groupBy(F.greatest(F.coalesce(*taken), F.lit(first)).alias("i")).agg(F.count("*").alias("n"))
+    ends = spark.createDataFrame([(first, 0), (last, 0)], "i bigint, n bigint")
     grid = counts.union(ends).groupBy("i").agg(F.sum("n").alias("n"))
     # a row a share of the grid at most
     sized = grid.select((F.col("i") * F.lit(step)).alias("pct"), F.sum("n").over(Window.orderBy("i")).alias("n_union"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kindred import functions as K
 from kindred.operators import features, labels, models, populations, reports, selection
 from kindred.plans.bindings import DIMS, IDS, Tables, sql
-from kindred.sources import latest_partition
+from kindred.sources.files import latest_partition
 from kindred.sources.tables import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -442,7 +442,7 @@ def q_union_at_pct(t: Tables) -> DataFrame:
     return r.agg(F.count_if(F.least("r_a", "r_b", "r_c") <= selection.places(r.count(), 10)).alias("n_union"), F.count("*").alias("n"))
 
 
-_GRID = "g as (select i, i * 0.001::double as pct from range(1, 100001) t(i)), sized as (select round(pct, 3) as pct, (select count(*) from ranks where least(r_a, r_b, r_c) <= round_even((select max(n) from ranks) * pct / 100, 0)) as n_union from g) "
+_GRID = "g as (select i, i * 0.001::double as pct from range(10, 100001) t(i)), sized as (select round(pct, 3) as pct, (select count(*) from ranks where least(r_a, r_b, r_c) <= round_even((select max(n) from ranks) * pct / 100, 0)) as n_union from g) "
 
 
 def _grid(text: str) -> str:

@@ -1,8 +1,9 @@
 """Runs as tables: results that are made once, what made them, and checks before a run.
 
 A root folder holds pools, encoders, the seeds of all runs, and runs. Each result is a Parquet table, written once; beside
-it lies a record, one row of a lineage table, of how it came about. A result counts as made only when its write was
-committed.
+it lies a record, one row of a lineage table, of how it came about, and a note of what it depends on: its parameters and
+the marks of its inputs, which are sums over rows or files in no order. A result counts as made only when its write was
+committed and its note says what is asked for; else it is made again, or refused, and what follows from it too.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import re
 import subprocess
 import time
 from collections.abc import Callable
-from dataclasses import asdict, dataclass, fields
+from dataclasses import asdict, dataclass
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 from kindred.functions import overlap, period, period_key
 from kindred.sources import write_rows
+from kindred.sources.files import facts
 
-RECORD = "name string, status string, rows bigint, seconds double, params string, inputs array<string>, plan string, plan_sha256 string, code string, error string"
+RECORD = "name string, status string, rows bigint, seconds double, params string, inputs array<string>, plan string, plan_sha256 string, code string, error string, mark string, changed array<string>"
+FILES = "name string, path string, length bigint, modified timestamp, sha256 string"
 _PART = re.compile(r"[A-Za-z0-9][A-Za-z0-9._+-]*")
 
 
@@ -41,9 +44,6 @@ class PoolSpec:
         for a, b in self.periods:
             period(a, b)
 
-    def differences(self, other: PoolSpec) -> list[str]:
-        return [f.name for f in fields(self) if getattr(self, f.name) != getattr(other, f.name)]
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -96,27 +96,69 @@ def code_state(folder: str | None = None) -> str | None:
         return None
 
 
-def stage(spark: SparkSession, root: str, name: str, build: Callable[[], DataFrame], params: dict | None = None, force: bool = False) -> DataFrame:
-    """The table ``root``/``name``: read if it is made, else built, written and recorded, also when it fails."""
-    path, began = f"{root.rstrip('/')}/{name}", time.time()
-    if made(spark, path) and not force:
+def delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def depends(params: dict | None, inputs: dict[str, str] | None) -> dict[str, str]:
+    """What a result depends on, by name."""
+    text = lambda v: json.dumps(v, sort_keys=True, ensure_ascii=False, default=str)
+    return {f"param {k}": text(v) for k, v in (params or {}).items()} | {f"input {k}": v for k, v in (inputs or {}).items()}
+
+
+def note(spark: SparkSession, root: str, name: str) -> dict | None:
+    """What is noted of a made stage: what it depends on, its rows and their mark."""
+    return held_at(spark, f"{root.rstrip('/')}/_stages/{name}") if made(spark, f"{root.rstrip('/')}/{name}") else None
+
+
+def changes(spark: SparkSession, root: str, name: str, params: dict | None, inputs: dict[str, str] | None) -> list[str] | None:
+    """What a made stage depends on that is other now; None if it is not made."""
+    if not made(spark, f"{root.rstrip('/')}/{name}"):
+        return None
+    if params is None and inputs is None:
+        return []
+    held, now = note(spark, root, name), depends(params, inputs)
+    if held is None:  # its write was not followed by its note
+        return None
+    return sorted(k for k in {*held["depends"], *now} if held["depends"].get(k) != now.get(k))
+
+
+def stage(
+    spark: SparkSession, root: str, name: str, build: Callable[[], DataFrame], params: dict | None = None, force: bool = False, inputs: dict[str, str] | None = None, refuse: bool = False, files: dict[str, list[str]] | None = None
+) -> DataFrame:
+    """The table ``root``/``name``: read if it is made from the same ``params`` and ``inputs`` (marks by name), else built,
+    written and recorded, also when it fails. With ``refuse`` one made from others is an error that names them. Without
+    either it is taken as it is. ``files`` (paths by input, hashed if the name starts with ``seeds``) are recorded file by
+    file."""
+    root = root.rstrip("/")
+    path, began = f"{root}/{name}", time.time()
+    changed = changes(spark, root, name, params, inputs)
+    if changed == [] and not force:
         return spark.read.parquet(path)
-    status, rows, plan, inputs, error = "failed", None, None, None, None
+    if changed and refuse and not force:
+        raise ValueError(f"{path} was made with other {', '.join(changed)}")
+    status, rows, plan, error, mark = "failed", None, None, None, None
     try:
         df = build()
         plan = df._jdf.queryExecution().analyzed().toString()
-        inputs = sorted(df.inputFiles())[:1000]
-        write_rows(df, path, root)
-        out = spark.read.parquet(path)
-        status, rows = "ok", out.count()
-        return out
+        delete(spark, f"{root}/_stages/{name}")
+        mark = write_rows(df, path, root)
+        keep(spark, f"{root}/_stages/{name}", {"depends": depends(params, inputs), "mark": mark}, force=True)
+        status, rows = "ok", int(mark.split(":")[0])
+        return spark.read.parquet(path)
     except Exception as e:
         error = str(e)[:2000]
         raise
     finally:
         digest = hashlib.sha256(plan.encode()).hexdigest() if plan else None
-        record = (name, status, rows, time.time() - began, json.dumps(params or {}, sort_keys=True, ensure_ascii=False, default=str), inputs, plan, digest, code_state(), error)
-        spark.createDataFrame([record], RECORD).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/_lineage")
+        text = json.dumps(params or {}, sort_keys=True, ensure_ascii=False, default=str)
+        sources = sorted({*(inputs or {}), *(p for x in (files or {}).values() for p in x)})
+        record = (name, status, rows, time.time() - began, text, sources, plan, digest, code_state(), error, mark, changed or [])
+        spark.createDataFrame([record], RECORD).coalesce(1).write.mode("append").parquet(f"{root}/_lineage")
+        if status == "ok":
+            for k, paths in (files or {}).items():
+                facts(spark, paths, hashed=k.startswith("seeds")).select(F.lit(name).alias("name"), "path", "length", "modified", "sha256").coalesce(1).write.mode("append").parquet(f"{root}/_files")
 
 
 def lineage(spark: SparkSession, root: str) -> DataFrame:
@@ -124,6 +166,11 @@ def lineage(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(RECORD).parquet(f"{root.rstrip('/')}/_lineage")
 
 
+def files(spark: SparkSession, root: str) -> DataFrame:
+    """(name, path, length, modified, sha256): the input files of all stages of a run."""
+    return spark.read.schema(FILES).parquet(f"{root.rstrip('/')}/_files")
+
+
 def keep(spark: SparkSession, path: str, value: dict, force: bool = False) -> None:
     """Write a small document once; another one in its place is refused."""
     held = held_at(spark, path)

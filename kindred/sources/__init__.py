@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 import warnings
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.functions import UUID, path_text
+from kindred.sources.files import mark_of, rows_mark, written_mark
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
@@ -56,29 +58,32 @@ def taxonomy(spark: SparkSession, path: str, id_col: str, group_col: str, depth_
     return t.select(F.col(id_col).alias("segment_id"), F.col(group_col).alias("feature_group"), path_text(*[F.col(c) for c in [*depth_cols, name_col]]).alias("path"))
 
 
-def latest_partition(df: DataFrame) -> DataFrame:
-    """One row: the latest partition and how many there are, from the keys alone."""
-    keys = df.select("year", "month", "day").distinct()
-    return keys.agg(F.max(F.concat_ws("-", "year", "month", "day")).alias("latest"), F.count("*").alias("n_partitions"))
-
-
-def write_rows(df: DataFrame, path: str, root: str) -> None:
-    """Overwrite a folder, only below ``root``."""
+def write_rows(df: DataFrame, path: str, root: str) -> str:
+    """Overwrite a folder, only below ``root``; returns the mark of the rows, taken as they were written."""
     if ".." in path or not path.startswith(root.rstrip("/") + "/"):
         raise ValueError(f"{path} is not below {root}")
-    df.write.mode("overwrite").parquet(path)
+    seen = Observation()
+    df.observe(seen, *rows_mark(df.columns)).write.mode("overwrite").parquet(path)
+    held = seen.get
+    return written_mark(held["n"], held["mark"]) if "n" in held else mark_of(df.sparkSession.read.schema(df.schema).parquet(path))
 
 
 def publish(df: DataFrame, table: str) -> int:
-    """Save as a new table and verify its rows against those that the write counted; an existing one is refused."""
+    """Save as a new table. Rows are written under a name of their own and verified against those that the write counted;
+    only then does the table get its name. An existing one is refused, also one that came to be meanwhile, and a failure
+    leaves no table."""
     if not all(_NAME.fullmatch(p) for p in table.split(".")):
         raise ValueError(f"not a table name: {table}")
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
         raise ValueError(f"{table} exists")
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("errorifexists").saveAsTable(table)
-    n, want = spark.table(table).count(), seen.get["n"]
-    if n != want:
-        raise RuntimeError(f"{table} has {n} rows of {want}")
-    return n
+    staged, seen = f"{table}_staged_{uuid4().hex[:12]}", Observation()
+    try:
+        df.observe(seen, *rows_mark(df.columns)).write.mode("errorifexists").saveAsTable(staged)
+        n, want = spark.table(staged).count(), seen.get.get("n", 0)
+        if n != want:
+            raise RuntimeError(f"{table} has {n} rows of {want}")
+        spark.sql(f"alter table {staged} rename to {table}")
+        return n
+    finally:
+        spark.sql(f"drop table if exists {staged}")

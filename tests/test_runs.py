@@ -38,7 +38,6 @@ def test_refusals(spark, tmp_path):
     runs.keep_pool(spark, layout, "p1", spec)
     assert runs.load_pool(spark, layout, "p1") == spec
     other = runs.PoolSpec((("2024-01-01", "2024-01-31"),), region="US")
-    assert spec.differences(other) == ["region"]
     with pytest.raises(ValueError, match="region"):
         runs.keep_pool(spark, layout, "p1", other)
     runs.keep_pool(spark, layout, "p1", other, force=True)

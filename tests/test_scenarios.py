@@ -10,6 +10,7 @@ from kindred import sources
 from kindred.operators import features, models
 from kindred.plans import runs, scenarios
 from kindred.plans.bindings import IDS, uuid
+from kindred.sources.files import mark_of
 
 N = 240
 
@@ -62,6 +63,97 @@ def test_runs(spark, config, capsys):
     assert scenarios.encode(spark, f"{held['root']}/encoders/e1", pool, done).count() == N - 200
 
 
+def held_config(held, **more):
+    return scenarios.DEFAULTS | {k: v for k, v in held.items() if k != "_comment"} | more
+
+
+def times(spark, held):
+    rows = runs.lineage(spark, f"{held['root']}/runs/r1/2024-02-01_2024-03-31").where("status = 'ok'").collect()
+    return {n: sum(r.name == n for r in rows) for n in {r.name for r in rows}}
+
+
+def test_changed_settings_make_what_follows(spark, config):
+    """Another share: scores and lists again, what stands before them not. Nothing again without a change."""
+    held, _ = config
+    before = times(spark, held)
+    out = scenarios.configured(spark, "seeds", held_config(held, top_percent=5.0)).run()
+    assert out.count() == N - 60 and out.agg(F.sum("in_a")).first()[0] == round((N - 60) * 0.05)
+    now = times(spark, held)
+    assert {k for k in now if now[k] > before[k]} == {"score", "lists", "overlap"}
+    scenarios.configured(spark, "seeds", held_config(held, top_percent=5.0)).run()
+    assert times(spark, held) == now
+    last = runs.lineage(spark, f"{held['root']}/runs/r1/2024-02-01_2024-03-31").where("size(changed) > 0 and name = 'score'").collect()
+    assert [r.changed for r in last] == [["param top_percent"]]
+
+
+def test_changed_seeds_make_a_run_again(spark, config):
+    held, root = config
+    before = (root / "b.csv").read_text()
+    try:
+        (root / "b.csv").write_text(before + "p60\n")
+        out = scenarios.configured(spark, "seeds", held_config(held)).run("seed")
+        assert out.count() == 61
+    finally:
+        (root / "b.csv").write_text(before)
+    facts = runs.files(spark, f"{held['root']}/runs/r1/2024-02-01_2024-03-31").where("name = 'seed' and path like '%b.csv'").collect()
+    assert len({r.sha256 for r in facts}) == 2 and all(r.length > 0 and r.modified for r in facts)
+    assert scenarios.configured(spark, "seeds", held_config(held, seeds={"a": str(root / "a"), "b": [str(root / "b.csv")], "c": str(root / "*.csv").replace("*", "b*")})).run("seed").count() == 60
+
+
+def test_imbalance_of_a_run(spark, config, capsys):
+    held, root = config
+    (root / "compare.json").write_text(json.dumps({k: v for k, v in held.items() if k != "fit"} | {"configs": {"w": {"mode": "posweight"}, "n": {"mode": "none"}}, "repeats": 1, "fit": {"rounds": 1}}))
+    scenarios.main(["compare", str(root / "compare.json")])
+    assert sorted(line.split(":")[0] for line in capsys.readouterr().out.splitlines() if "+-" in line) == ["n", "w"]
+    with pytest.raises(ValueError, match="not encoded"):
+        scenarios.configured(spark, "seeds", held_config(held, run="r9")).compare()
+
+
+def test_probe_of_the_snapshots(spark, config):
+    held, _ = config
+    inputs = scenarios.configured(spark, "pool", held_config(held)).inputs
+    assert scenarios.snapshot(inputs) == {"latest": "2024-03-05", "n_partitions": 3}
+    inputs.paths["snapshots"] = [held["root"] + "/nowhere"]
+    assert scenarios.snapshot(inputs) is None
+    inputs.paths.clear()
+    assert scenarios.snapshot(inputs) is None
+
+
+def test_encoder_inputs_are_not_shuffled(spark, config):
+    """One pass pools all groups; vectors are those of the bags pooled group by group."""
+    held, _ = config
+    at = scenarios.encoder_at(spark, f"{held['root']}/encoders/e1")
+    rows, table, vocabulary = (spark.read.parquet(p) for p in (f"{held['root']}/pools/p1/pool", f"{at}/lookup", f"{at}/vocabulary"))
+    lookups, model = models.folded(models.load_model(spark, f"{at}/model"), table)
+    out = model.encode(scenarios.encoder_inputs(rows, lookups, vocabulary))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Exchange rangepartitioning" not in plan and "Exchange SinglePartition" not in plan
+    whole = models.load_model(spark, f"{at}/model").encode(scenarios.encoder_inputs(rows, dict.fromkeys(scenarios.BAGS, table), vocabulary))
+    a, b = ({r.device_ifa: np.array(r.z) for r in d.collect()} for d in (out, whole))
+    assert set(a) == set(b) and all(np.allclose(a[k], b[k], atol=1e-6) for k in a)
+    bags = features.pool_groups(rows, scenarios.BAGS, dict.fromkeys(scenarios.BAGS, table))
+    features.LOOKUP_ROWS, was = 0, features.LOOKUP_ROWS
+    try:
+        joined = features.pool_groups(rows, scenarios.BAGS, dict.fromkeys(scenarios.BAGS, table))
+    finally:
+        features.LOOKUP_ROWS = was
+    x, y = ({r.device_ifa: np.concatenate([r[f"v_{g}"] for g in scenarios.BAGS]) for r in d.collect()} for d in (bags, joined))
+    assert set(x) == set(y) and all(np.allclose(x[k], y[k]) for k in x)
+
+
+def test_pooled_edges(spark):
+    """Null and empty bags, unknown IDs, repeats, and bags that are longer than is kept."""
+    table = spark.createDataFrame([("1", [1.0, 0.0]), ("2", [0.0, 4.0])], "segment_id string, vector array<double>")
+    rows = spark.createDataFrame([("a", "1;2;2"), ("b", None), ("c", ""), ("d", "9;1"), ("e", "1;" + "2;" * 23 + "2")], "device_ifa string, product string")
+    for limit in (10, 0):
+        features.LOOKUP_ROWS, was = limit, features.LOOKUP_ROWS
+        try:
+            got = {r.device_ifa: r.v_product for r in features.pool_groups(rows, {"product": "product"}, {"product": table}).collect()}
+        finally:
+            features.LOOKUP_ROWS = was
+        assert {k: [round(x, 6) for x in v] for k, v in got.items()} == {"a": [0.333333, 2.666667], "b": [0.0, 0.0], "c": [0.0, 0.0], "d": [1.0, 0.0], "e": [0.0, 4.0]}
+
+
 def test_another_encoder_is_refused(spark, config):
     held, root = config
     config = scenarios.DEFAULTS | {k: v for k, v in held.items() if k != "_comment"} | {"encoder": "e2"}
@@ -117,3 +209,26 @@ def test_one_csv(spark, tmp_path):
         sources.one_csv(spark, str(tmp_path))
     (tmp_path / "a.csv").write_text("x\n")
     assert sources.one_csv(spark, str(tmp_path)).endswith("a.csv") and sources.one_csv(spark, str(tmp_path / "a.csv")) == str(tmp_path / "a.csv")
+
+
+def test_a_pool_is_one_unit(spark, config):
+    """Settings of a made pool are refused; by force vocabulary, lookup and model are made together, and runs of the
+    encoder that was are refused."""
+    held, root = config
+    encoder = f"{held['root']}/encoders/e1"
+    with pytest.raises(ValueError, match="param train"):
+        scenarios.configured(spark, "pool", held_config(held, train={"rounds": 1, "dims": 8})).run()
+    was, model = scenarios.encoder_at(spark, encoder), held["root"] + "/runs/r1/2024-02-01_2024-03-31"
+    scenarios.configured(spark, "seeds", held_config(held), force=True).run()
+    assert spark.read.parquet(f"{model}/train").first().model.startswith(f"{model}/models/")
+    scenarios.configured(spark, "pool", held_config(held, train={"rounds": 1, "dims": 8}), force=True).run()
+    now = scenarios.encoder_at(spark, encoder)
+    assert now != was and models.about_model(spark, f"{now}/model")["sha256"] == spark.read.parquet(f"{held['root']}/pools/p1/train").first().sha256
+    note = runs.held_at(spark, f"{encoder}/current")
+    assert note["structure"]["dims"] == 64 and all(mark_of(spark.read.parquet(f"{now}/{k}")) == note["tables"][k] for k in ("lookup", "vocabulary"))
+    with pytest.raises(ValueError, match="sha256"):
+        scenarios.configured(spark, "seeds", held_config(held)).run()
+    spark.read.parquet(f"{now}/vocabulary").limit(1).write.mode("overwrite").parquet(str(root / "less"))
+    spark.read.parquet(str(root / "less")).write.mode("overwrite").parquet(f"{now}/vocabulary")
+    with pytest.raises(ValueError, match="vocabulary is not"):
+        scenarios.encode(spark, encoder, spark.read.parquet(f"{held['root']}/pools/p1/pool"))
