@@ -9,11 +9,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred import functions as K
 from kindred.operators.ranking import placed
+from kindred.sources.tables import cut
 
 GROUPS = ("gender", "age", "residence", "product", "content", "etc")
 # fixed values: IDs kept of a bag, the last ones
@@ -87,15 +88,100 @@ def hashed_vectors(dims: int = 64) -> Callable[[list[str]], np.ndarray]:
     return run
 
 
-def lookup(taxonomy: DataFrame, provider: Callable[[list[str]], np.ndarray]) -> DataFrame:
-    """(segment_id, idx, vector): of each segment's path text the vector that ``provider`` gives, whatever makes it. idx
-    counts from 1 by segment, 0 stands for none."""
+def path_parts(taxonomy: DataFrame) -> DataFrame:
+    """(segment_id, token) once each: a path's words, and its beginnings up to each ``>``, so that near paths share more."""
+    path = F.lower(F.coalesce("path", F.lit("")))
+    steps = F.split(path, ">")
+    begins = F.transform(F.sequence(F.lit(1), F.size(steps)), lambda i: F.concat(F.lit(">"), F.array_join(F.slice(steps, F.lit(1), i), ">")))
+    parts = F.array_union(F.split(path, r"[>\s]+"), begins)
+    return taxonomy.select("segment_id", F.explode(F.filter(F.array_distinct(parts), lambda x: F.length(F.replace(x, F.lit(">"), F.lit(""))) > 0)).alias("token"))
+
+
+def _summed(rows: DataFrame, key: str, vector: Column, wide: int) -> DataFrame:
+    """(key, y): sums of vectors by key, a native sum a dimension."""
+    held = rows.select(key, vector.alias("_v"))
+    return held.groupBy(key).agg(F.array(*[F.sum(F.col("_v")[j]) for j in range(wide)]).alias("y"))
+
+
+def _gram(rows: DataFrame, wide: int) -> np.ndarray:
+    """Sum of y times y over the rows: a matrix a partition, then one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((wide, wide))
+        for b in batches:
+            y = b.column("y").flatten().to_numpy().reshape(-1, wide)
+            total += y.T @ y
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.float64()))], ["g"])
+
+    sums = rows.select("y").mapInArrow(run, "g array<double>").select(F.posexplode("g").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).toPandas()
+    return sums.sort_values("i").x.to_numpy().reshape(wide, wide) if len(sums) else np.zeros((wide, wide))
+
+
+def learned_vectors(dims: int = 32, spare: int = 8, turns: int = 2) -> Callable[[DataFrame], DataFrame]:
+    """A provider whose vectors are learned from the taxonomy's own paths: the left singular vectors, times their values and
+    of length 1, of the positive mutual information of segments and path parts.
+
+    A randomised decomposition: random signs of the parts are summed by segment, ``turns`` times through the parts and
+    back, made orthonormal by their Gram matrix, and rotated by that of their images. Spark sums over segments and parts;
+    the driver sees matrices of dims + spare. Segments without a part have the zero vector."""
+
+    def run(taxonomy: DataFrame) -> DataFrame:
+        wide = dims + spare
+        both = path_parts(taxonomy)
+        by_segment, by_part = both.groupBy("segment_id").agg(F.count("*").alias("ns")), both.groupBy("token").agg(F.count("*").alias("nt"))
+        n = both.count()
+        info = F.greatest(F.log(F.lit(float(n)) / (F.col("ns") * F.col("nt"))), F.lit(0.0))
+        a = both.join(by_segment, "segment_id").join(by_part, "token").select("segment_id", "token", info.alias("w")).persist()
+        times = lambda v: F.transform(v, lambda x: x * F.col("w"))
+        signs = F.array(*[(F.pmod(F.xxhash64("token", F.lit(j)), F.lit(2)) * 2 - 1).cast("double") for j in range(wide)])
+        try:
+            y = cut(_summed(a, "segment_id", times(signs), wide), "vectors")
+            for _ in range(turns):
+                y = _orthonormal(y, wide)
+                back = _summed(a.join(y, "segment_id"), "token", times(F.col("y")), wide)
+                y = cut(_summed(a.join(back, "token"), "segment_id", times(F.col("y")), wide), "vectors")
+            y = _orthonormal(y, wide)
+            image = cut(_summed(a.join(y, "segment_id"), "token", times(F.col("y")), wide), "vectors")
+            e, u = np.linalg.eigh(_gram(image, wide))
+            order = np.argsort(-e)[:dims]
+            turn = u[:, order] * np.sqrt(np.maximum(e[order], 0))
+            size = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+            out = taxonomy.select("segment_id").distinct().join(_rotated(y, turn), "segment_id", "left")
+            zero = F.array_repeat(F.lit(0.0), dims)
+            return out.select("segment_id", F.coalesce(F.when(size(F.col("y")) > 1e-12, F.transform("y", lambda x: x / size(F.col("y")))), zero).alias("vector"))
+        finally:
+            a.unpersist()
+
+    run.from_table = True
+    return run
+
+
+def _rotated(rows: DataFrame, m: np.ndarray) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            y = b.column("y").flatten().to_numpy().reshape(-1, m.shape[0]) @ m
+            yield pa.RecordBatch.from_arrays([b.column("segment_id"), pa.array(list(y), pa.list_(pa.float64()))], ["segment_id", "y"])
+
+    return rows.select("segment_id", "y").mapInArrow(run, "segment_id string, y array<double>")
+
+
+def _orthonormal(rows: DataFrame, wide: int) -> DataFrame:
+    """The rows' columns made orthonormal; directions that hold nothing become zero."""
+    e, u = np.linalg.eigh(_gram(rows, wide))
+    good = e > max(float(e[-1]), 1e-300) * 1e-12
+    return _rotated(rows, u * np.where(good, 1 / np.sqrt(np.where(good, e, 1)), 0))
+
+
+def lookup(taxonomy: DataFrame, provider: Callable[[list[str]], np.ndarray] | Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(segment_id, idx, vector): of each segment's path text the vector that ``provider`` gives, whatever makes it; one with
+    ``from_table`` is given all segments at once, as a DataFrame. idx counts from 1 by segment, 0 stands for none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             yield pd.DataFrame({"segment_id": b.segment_id, "vector": list(provider(b.path.fillna("").tolist()) if len(b) else [])})
 
-    vectors = taxonomy.select("segment_id", "path").mapInPandas(run, "segment_id string, vector array<double>")
+    plain = taxonomy.select("segment_id", "path")
+    vectors = provider(plain) if getattr(provider, "from_table", False) else plain.mapInPandas(run, "segment_id string, vector array<double>")
     ids = placed(taxonomy.select("segment_id").distinct(), [F.col("segment_id")], "idx")
     return ids.join(vectors, "segment_id").select("segment_id", F.col("idx").cast("int").alias("idx"), "vector")
 

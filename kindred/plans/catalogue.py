@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
-from uuid import uuid4
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +11,11 @@ from pyspark.sql import functions as F
 
 from kindred import functions as K
 from kindred.operators import features, labels, models, populations, reports, selection
+from kindred.plans import runs, scenarios
 from kindred.plans.bindings import DIMS, IDS, Tables, sql
-from kindred.sources.files import latest_partition
-from kindred.sources.tables import shared_folder
+from kindred.plans.latest import update_latest
+from kindred.sources.files import latest_partition, partitions
+from kindred.sources.tables import scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -278,14 +279,32 @@ def q_vocab_normalize(t: Tables) -> DataFrame:
     return t.read("customer").select("c_custkey", K.plain_number(x).alias("token"))
 
 
-@query("taxonomy", "select segment_id, concat_ws('>', nullif(trim(depth1), ''), nullif(trim(depth2), ''), nullif(trim(name), '')) as path from taxonomy")
+@query("", "select p_partkey, concat_ws('>', nullif(trim(split_part(p_type, ' ', 1)), ''), case when p_partkey % 3 > 0 then nullif(trim(p_brand), '') end, nullif(trim(split_part(p_type, ' ', 3)), ''), nullif(trim(p_name), '')) as path from part")
 def q_taxonomy_path(t: Tables) -> DataFrame:
-    return t.taxonomy.select("segment_id", K.path_text(F.col("depth1"), F.col("depth2"), F.col("name")).alias("path"))
+    kind = F.split("p_type", " ")
+    depth = F.when(F.col("p_partkey") % 3 == 1, F.col("p_brand")).when(F.col("p_partkey") % 3 == 2, F.concat(F.lit(" "), "p_brand")).otherwise(" ")
+    return t.read("part").select("p_partkey", K.path_text(kind[0], depth, F.get(kind, F.lit(2)), F.col("p_name")).alias("path"))
+
+
+_DAYS = ("year", "month", "day")
 
 
 @query("snapshots", "select max(year || '-' || month || '-' || day) as latest, count(distinct year || month || day) as n_partitions from snapshots")
 def q_partition_snapshot(t: Tables) -> DataFrame:
-    return latest_partition(t.snapshots)
+    """Of a partitioned table's folders; its rows are written, and none is read."""
+    at = scratch(t.spark, "snapshots")
+    t.snapshots.write.partitionBy(*_DAYS).parquet(at)
+    return latest_partition(partitions(t.spark, at))
+
+
+@query("snapshots latest", "select device_ifa, segments from latest")
+def q_latest_incremental(t: Tables) -> DataFrame:
+    """As q_latest_segments, from a table that is carried on as partitions arrive: a first build, and two updates."""
+    at, root, day = scratch(t.spark, "snapshots"), scratch(t.spark, "latest"), F.col("day").cast("int")
+    for arrived in (day % 3 == 1, (day % 3 != 1) & (day > 20), (day % 3 != 1) & (day <= 20)):
+        t.snapshots.where(arrived).write.mode("append").partitionBy(*_DAYS).parquet(at)
+        out = update_latest(t.spark, at, root)
+    return out.select("device_ifa", "segments")
 
 
 # Encoding and scoring, with fixed weights
@@ -567,6 +586,68 @@ def q_rep_summary(t: Tables) -> DataFrame:
 def q_score_saved(t: Tables) -> DataFrame:
     """As q_score_mlp, by a model that was written as a table and read again."""
     params = {"w0": np.array(_W).T, "b0": np.array(_B), "w1": np.array([_HEAD]).T, "b1": np.array([-0.1])}
-    at = f"{shared_folder(t.spark)}/model-{uuid4().hex}"
+    at = scratch(t.spark, "model")
     models.save_model(t.spark, models.Classifier(params, ["a"]), at)
     return models.load_model(t.spark, at).score(t.z).select("device_ifa", F.round("score_a", 6).alias("score"))
+
+
+# A run from end to end, with fixed weights
+
+_AGES = [i * 37 % 11 / 10 for i in range(12)]
+_PARTS = {"residence": (0.3, -0.2, 0.1), "product": (-0.4, 0.25, 0.0), "content": (0.15, 0.35, -0.1), "etc": (0.05, -0.3, 0.2)}
+_IN = [[(i * 7 + j * 5) % 11 / 10 - 0.45 for j in range(2)] for i in range(6)]
+_OUT, _TOP = [[0.8, -0.5], [0.3, 0.9]], [[1.1, -0.7], [0.6, 0.4]]
+_AGE_SET = "[" + ", ".join(f"'{i}'" for i in IDS["age"]) + "]"
+_X = ["g", "a", *[f"p_{k}" for k in _PARTS]]
+
+
+def _fixed_run(t: Tables) -> scenarios.Seeds:
+    """A seed run whose encoder and classifier are given; direct seeds, candidates of 20 days."""
+    spark, root = t.spark, scratch(t.spark, "run")
+    layout = runs.Layout(root)
+    taxonomy = t.taxonomy.select("segment_id", "feature_group", K.path_text(F.col("depth1"), F.col("depth2"), F.col("name")).alias("path"))
+    inputs = scenarios.Inputs(t.bid, t.snapshots, t.crosswalk, taxonomy, lambda texts: np.array([[len(x) % 5, len(x) % 3] for x in texts], float))
+    pool = scenarios.Pool(spark, layout, "fixed", runs.PoolSpec((("2023-12-01", "2023-12-31"),)), inputs, "fixed")
+    ages = features.segment_features(inputs.latest, IDS).select(K.first_id(F.col("age_bracket_ids")).alias("token"))
+    features.vocabulary(ages).write.parquet(f"{pool.encoder}/vocabulary")
+    features.lookup(taxonomy, inputs.provider).write.parquet(f"{pool.encoder}/lookup")
+    params = {"age": np.array(_AGES)[:, None], "w0": np.array(_IN), "b0": np.array([0.2, -0.1]), "w1": np.array(_OUT), "b1": np.array([0.05, -0.05])}
+    for g, (x, y, shift) in _PARTS.items():
+        params |= {f"project_{g}": np.array([[x], [y]]), f"shift_{g}": np.array([shift])}
+    models.save_model(spark, models.Autoencoder(params, list(_PARTS), len(_AGES)), f"{pool.encoder}/model")
+    models.save_model(spark, models.Classifier({"w0": np.array(_TOP), "b0": np.array([0.1, -0.2])}, ["a", "b"]), f"{root}/given")
+    seeds = {k: populations.seed_source(t.seed(k), "seed_id") for k in "ab"}
+    return scenarios.Seeds(spark, layout, "fixed", pool, seeds, [("2024-01-01", "2024-01-20")], "direct", 30.0, model=f"{root}/given")
+
+
+def _dot(names: list[str], weights: list[float], bias: float) -> str:
+    return " + ".join([f"{n} * {w}::double" for n, w in zip(names, weights)]) + f" + {bias}::double"
+
+
+_RUN = sql("nu seed_a seed_b bid keep snapshots latest taxonomy", "").rstrip() + f""", lists as (select device_ifa, list_distinct(string_split(segments, ';')) as s, list_filter(string_split(segments, ';'), lambda x: list_contains({_AGE_SET}, x))[1] as token from latest),
+vocab as (select token, row_number() over (order by count(*) desc, token) + 1 as idx from lists where token is not null group by token),
+vectors as (select segment_id, feature_group, length(p) % 5 as v1, length(p) % 3 as v2 from (select *, concat_ws('>', nullif(trim(depth1), ''), nullif(trim(depth2), ''), nullif(trim(name), '')) as p from taxonomy)),
+chosen as (select l.*, coalesce(v.idx, 0) as idx from lists l left join vocab v using (token) where device_ifa in (select device_ifa from keep) and device_ifa not in (select seed_id from seed_a union select seed_id from seed_b)),
+means as (select device_ifa, feature_group, avg(v1) as m1, avg(v2) as m2 from (select device_ifa, unnest(s) as segment_id from chosen) join vectors using (segment_id) group by 1, 2),
+wide as (select device_ifa, any_value([{', '.join(f'{a}::double' for a in [0.0, *_AGES[1:]])}][idx + 1]) as a, """ + ", ".join(f"coalesce(max(case when feature_group = '{k}' then m1 * {x}::double + m2 * {y}::double end), 0) + {z}::double as p_{k}" for k, (x, y, z) in _PARTS.items()) + f""" from chosen left join means using (device_ifa) group by device_ifa),
+genders as (select device_ifa, coalesce(gender_score, 0) as g from ({_FEATURES.format("latest")})),
+hidden as (select device_ifa, greatest(0, {_dot(_X, [w[0] for w in _IN], 0.2)}) as h1, greatest(0, {_dot(_X, [w[1] for w in _IN], -0.1)}) as h2 from wide join genders using (device_ifa)),
+codes as (select device_ifa, ({_dot(['h1', 'h2'], [_OUT[0][0], _OUT[1][0]], 0.05)})::float::double as z1, ({_dot(['h1', 'h2'], [_OUT[0][1], _OUT[1][1]], -0.05)})::float::double as z2 from hidden),
+scored as (select device_ifa, 1 / (1 + exp(-({_dot(['z1', 'z2'], [_TOP[0][0], _TOP[1][0]], 0.1)}))) as score_a, 1 / (1 + exp(-({_dot(['z1', 'z2'], [_TOP[0][1], _TOP[1][1]], -0.2)}))) as score_b from codes),
+placed as (select *, row_number() over (order by score_a desc, device_ifa) as r_a, row_number() over (order by score_b desc, device_ifa) as r_b, count(*) over () as n from scored),
+taken as (select device_ifa, round(score_a, 5) as score_a, round(score_b, 5) as score_b, (r_a <= {_M.format(30)})::int as in_a, (r_b <= {_M.format(30)})::int as in_b, r_a, r_b, n from placed) """
+
+
+@query("", _RUN + "select device_ifa, score_a, score_b, in_a, in_b from taken")
+def q_run_scores(t: Tables) -> DataFrame:
+    """Scores and choices of a whole run: seeds resolved and left out, candidates, features, encoding, scoring, shares."""
+    return _fixed_run(t).run("score").select("device_ifa", F.round("score_a", 5).alias("score_a"), F.round("score_b", 5).alias("score_b"), "in_a", "in_b")
+
+
+@query("", _RUN + f"""select p::double as top_pct, count(*) filter (where r_a <= m) as n_a, count(*) filter (where r_b <= m) as n_b, count(*) filter (where r_a <= m and r_b <= m) as intersection, max(n) as n_scored
+  from (select *, round_even(n * p / 100.0, 0) as m from taken cross join (select unnest([6, 12, 18, 24, 30]) as p)) group by p""")
+def q_run_overlap(t: Tables) -> DataFrame:
+    """The overlap report that such a run leaves."""
+    run = _fixed_run(t)
+    run.run()
+    return t.spark.read.parquet(f"{run.root}/overlap").select("top_pct", "n_a", "n_b", "intersection", "n_scored")

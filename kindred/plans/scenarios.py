@@ -47,7 +47,7 @@ class Inputs:
     snapshots: DataFrame
     crosswalk: DataFrame
     taxonomy: DataFrame
-    provider: Callable[[list[str]], np.ndarray] = field(default_factory=features.hashed_vectors)
+    provider: Callable[[list[str]], np.ndarray] | Callable[[DataFrame], DataFrame] = field(default_factory=features.hashed_vectors)
     paths: dict[str, list[str]] = field(default_factory=dict)
     latest_at: str | None = None
 
@@ -193,16 +193,16 @@ def snapshot(inputs: Inputs) -> dict | None:
 class Seeds(Scenario):
     """Candidates for one or several seed lists: by score, for each label a share, and their union."""
 
-    def __init__(self, spark: SparkSession, layout: runs.Layout, name: str, pool: Pool, seeds: dict[str, DataFrame], periods: list[tuple[str, str]], id_mode: str = "auto", top_percent: float = 10.0, union_target: int | None = None, fit: dict | None = None, table: str | None = None, force: bool = False, at_least: bool = False, report_percents: list[float] | None = None) -> None:
+    def __init__(self, spark: SparkSession, layout: runs.Layout, name: str, pool: Pool, seeds: dict[str, DataFrame], periods: list[tuple[str, str]], id_mode: str = "auto", top_percent: float = 10.0, union_target: int | None = None, fit: dict | None = None, table: str | None = None, force: bool = False, at_least: bool = False, report_percents: list[float] | None = None, model: str | None = None) -> None:
         """``seeds``: seed_id by label. ``id_mode``: auto, direct, crosswalk:uuid or crosswalk:platform_ad_id. ``table``: the
-        name that results are published under, if any."""
+        name that results are published under, if any. ``model``: a saved classifier that scores instead of a new one."""
         stages = tuple(s for s in SEED_STAGES if (s != "publish" or table) and (s != "overlap" or len(seeds) > 1))
         super().__init__(spark, layout, layout.run(name, periods), stages, force)
         if not re_mode(id_mode):
             raise ValueError(f"auto, direct, crosswalk:uuid or crosswalk:platform_ad_id, not {id_mode}")
         self.name, self.pool, self.seeds, self.periods, self.id_mode = name, pool, seeds, periods, id_mode
         self.top_percent, self.union_target, self.fit, self.table = top_percent, union_target, fit or {}, table
-        self.at_least, self.report_percents = at_least, report_percents
+        self.at_least, self.report_percents, self.model = at_least, report_percents, model
 
     def resolved(self, seeds: DataFrame, latest: DataFrame) -> DataFrame:
         """(device_ifa) of a seed list, by the mode that is forced or found."""
@@ -258,6 +258,8 @@ class Seeds(Scenario):
             return z
 
         def train() -> DataFrame:
+            if self.model:
+                return spark.createDataFrame([(self.model, models.about_model(spark, self.model)["sha256"], None, None)], "model string, sha256 string, val_auc double, rounds int")
             rows = self.labelled(seeds, z).withColumn("code", labels.label_code(names))
             split = labels.stratified_split(rows, "code", 0.1).drop("code")
             model = models.fit_classifier(split.where("split = 'train'"), split.where("split = 'val'"), {k: f"y_{k}" for k in names}, **({"hidden": (32,) if len(names) == 1 else (32, 32)} | self.fit))
@@ -267,7 +269,7 @@ class Seeds(Scenario):
             return spark.createDataFrame([(at, digest, model.val_auc, model.rounds)], "model string, sha256 string, val_auc double, rounds int")
 
         pooled = runs.note(spark, self.pool.root, "encode")
-        held = self.make("train", train, after=("seed", "encode"), inputs={"pool": pooled["mark"]} if pooled else {}, fit=self.fit)
+        held = self.make("train", train, after=("seed", "encode"), inputs={"pool": pooled["mark"]} if pooled else {}, fit=self.fit, model=self.model)
         if until == "train":
             return held
 
@@ -322,10 +324,13 @@ def re_mode(mode: str) -> bool:
     return mode in ("auto", "direct", "crosswalk:uuid", "crosswalk:platform_ad_id")
 
 
+#: What gives segments their vectors, by the name that a configuration has for it.
+PROVIDERS = {"hashed": features.hashed_vectors, "learned": features.learned_vectors}
+
 DEFAULTS = {
     "root": None, "log": None, "snapshots": None, "crosswalk": None, "taxonomy": None, "taxonomy_columns": {"id": "segment_id", "group": "feature_group", "depths": ["depth1", "depth2", "depth3"], "name": "name"},
-    "pool": None, "pool_spec": None, "encoder": None, "train": {}, "max_rows": 0, "min_freq": 1, "run": None, "periods": None, "seeds": {}, "id_mode": "auto", "top_percent": 10.0, "union_target": None, "at_least": False, "report_percents": None, "fit": {}, "table": None,
-    "latest": None, "configs": None, "repeats": 3,
+    "pool": None, "pool_spec": None, "encoder": None, "train": {}, "max_rows": 0, "min_freq": 1, "run": None, "periods": None, "seeds": {}, "id_mode": "auto", "top_percent": 10.0, "union_target": None, "at_least": False, "report_percents": None, "fit": {}, "table": None, "model": None,
+    "vectors": "hashed", "latest": None, "configs": None, "repeats": 3,
 }
 
 
@@ -345,14 +350,14 @@ def configured(spark: SparkSession, kind: str, config: dict, force: bool = False
         seeds[label] = populations.seed_source(rows, "seed_id", uuid_only=False)
     inputs = Inputs(
         sources.partitioned(spark, config["log"]), sources.partitioned(spark, config["snapshots"]), spark.read.parquet(config["crosswalk"]),
-        sources.taxonomy(spark, config["taxonomy"], columns["id"], columns["group"], columns["depths"], columns["name"]), paths=paths, latest_at=config["latest"],
+        sources.taxonomy(spark, config["taxonomy"], columns["id"], columns["group"], columns["depths"], columns["name"]), PROVIDERS[config["vectors"]](), paths=paths, latest_at=config["latest"],
     )
     spec = runs.PoolSpec(**config["pool_spec"]) if config["pool_spec"] else runs.load_pool(spark, layout, config["pool"])
     pool = Pool(spark, layout, config["pool"], spec, inputs, config["encoder"], config["train"], config["max_rows"], config["min_freq"], force and kind == "pool")
     if kind == "pool":
         return pool
     return Seeds(
-        spark, layout, config["run"], pool, seeds, [tuple(p) for p in config["periods"]], config["id_mode"], config["top_percent"], config["union_target"], config["fit"], config["table"], force, config["at_least"], config["report_percents"]
+        spark, layout, config["run"], pool, seeds, [tuple(p) for p in config["periods"]], config["id_mode"], config["top_percent"], config["union_target"], config["fit"], config["table"], force, config["at_least"], config["report_percents"], config["model"]
     )
 
 

@@ -15,9 +15,10 @@ from kindred.sources.files import mark_of, rows_mark, written_mark
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
-def partitioned(spark: SparkSession, path: str) -> DataFrame:
-    """A table partitioned by year, month and day, whose keys stay zero-padded strings."""
-    df = spark.read.parquet(path)
+def partitioned(spark: SparkSession, path: str, only: list[str] | None = None) -> DataFrame:
+    """A table partitioned by year, month and day, whose keys stay zero-padded strings; with ``only`` the partitions of
+    these folders alone, so that no other file is listed or opened."""
+    df = spark.read.option("basePath", path).parquet(*([path] if only is None else only))
     return df.withColumns({c: F.lpad(df[c].cast("string"), 4 if c == "year" else 2, "0") for c in ("year", "month", "day") if c in df.columns})
 
 

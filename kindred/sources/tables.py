@@ -21,14 +21,20 @@ def shared_folder(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; what lies there goes when the driver's JVM ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: later passes neither repeat its work nor depend on
     an executor that may be lost. The files go with ``drop``, or when the driver's JVM ends."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_at = path
     return out

@@ -186,6 +186,32 @@ def test_folded_lookup_gives_the_same_means(spark):
     assert all(np.allclose(whole[k], joined[k]) for k in whole)
 
 
+def test_learned_vectors(spark):
+    """Segments of one branch are nearer than those of others, reruns agree, and the vectors span what a plain
+    decomposition of the same matrix does."""
+    rows = [(f"{i}{j}{k}", f"Group {i}>branch {i}{j}>leaf {i}{j}{k}") for i in range(3) for j in range(3) for k in range(4)] + [("none", None)]
+    taxonomy = spark.createDataFrame(rows, "segment_id string, path string").repartition(3)
+    vectors = lambda: {r.segment_id: np.array(r.vector) for r in features.lookup(taxonomy, features.learned_vectors(9, 23)).collect()}
+    v, again = vectors(), vectors()
+    assert set(v) == {i for i, _ in rows} and not v["none"].any()
+    names = [i for i, _ in rows[:-1]]
+    cosine = np.array([[v[a] @ v[b] for b in names] for a in names])
+    branch = np.array([[a[:2] == b[:2] for b in names] for a in names])
+    group = np.array([[a[0] == b[0] for b in names] for a in names])
+    assert cosine[branch].mean() > cosine[group & ~branch].mean() > cosine[~group].mean()
+    assert np.allclose(cosine, [[again[a] @ again[b] for b in names] for a in names], atol=1e-6)
+    parts = {(r.segment_id, r.token) for r in features.path_parts(taxonomy).collect()}
+    s, t = sorted({a for a, _ in parts}), sorted({b for _, b in parts})
+    m = np.array([[float((a, b) in parts) for b in t] for a in s])
+    m = m * np.maximum(np.log(m.sum() / np.outer(m.sum(1), m.sum(0))), 0)
+    u, values, _ = np.linalg.svd(m)
+    assert values[8] > 1.02 * values[9]  # groups and branches; what follows are single leaves
+    plain = u[:, :9] * values[:9]
+    plain /= np.linalg.norm(plain, axis=1, keepdims=True)
+    at = [s.index(i) for i in names]
+    assert np.allclose(cosine, (plain @ plain.T)[np.ix_(at, at)], atol=1e-3)
+
+
 def test_imbalance_is_compared(spark):
     r = np.random.default_rng(1)
     z = r.normal(size=(600, 3))
