@@ -191,7 +191,7 @@ def test_learned_vectors(spark):
     decomposition of the same matrix does."""
     rows = [(f"{i}{j}{k}", f"Group {i}>branch {i}{j}>leaf {i}{j}{k}") for i in range(3) for j in range(3) for k in range(4)] + [("none", None)]
     taxonomy = spark.createDataFrame(rows, "segment_id string, path string").repartition(3)
-    vectors = lambda: {r.segment_id: np.array(r.vector) for r in features.lookup(taxonomy, features.learned_vectors(9, 23)).collect()}
+    vectors = lambda: {r.segment_id: np.array(r.vector) for r in features.lookup(taxonomy, features.learned_vectors(9, 31)).collect()}
     v, again = vectors(), vectors()
     assert set(v) == {i for i, _ in rows} and not v["none"].any()
     names = [i for i, _ in rows[:-1]]
