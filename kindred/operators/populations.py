@@ -88,21 +88,38 @@ def merge_embeddings(frames: list[DataFrame]) -> DataFrame:
 ID_SPACES = ("snapshot_direct", "crosswalk_ad_id", "crosswalk_uuid", "crosswalk_platform_ad_id", "log_direct")
 
 
-def id_space(seeds: DataFrame, latest: DataFrame, crosswalk: DataFrame, log: DataFrame) -> DataFrame:
-    """One row: seed counts and, by ID space, how many seeds are in it. The crosswalk is scanned once for its three
-    columns, and all spaces meet the seeds in one semi join, before what is left is made distinct."""
+def _spaces(latest: DataFrame, crosswalk: DataFrame, log: DataFrame) -> DataFrame:
+    """(space, seed_id) of all ID spaces; the crosswalk is scanned once for its three columns."""
     stacked = crosswalk.select(F.expr("stack(3, 'crosswalk_ad_id', ad_id, 'crosswalk_uuid', uuid, 'crosswalk_platform_ad_id', platform_ad_id) as (space, seed_id)"))
-    spaces = stacked.union(latest.select(F.lit("snapshot_direct"), "device_ifa")).union(log.select(F.lit("log_direct"), "device_ifa")).where("seed_id is not null")
-    hits = spaces.join(seeds.select("seed_id"), "seed_id", "left_semi").distinct().agg(*[F.count_if(F.col("space") == s).alias(f"n_{s}") for s in ID_SPACES])
-    sizes = seeds.agg(F.count("*").alias("n_seed"), F.count_if(K.is_uuid(F.col("seed_id"))).alias("n_uuid"), F.min(F.length("seed_id")).alias("min_len"), F.max(F.length("seed_id")).alias("max_len"))
-    return sizes.join(hits)  # a row each
+    return stacked.union(latest.select(F.lit("snapshot_direct"), "device_ifa")).union(log.select(F.lit("log_direct"), "device_ifa")).where("seed_id is not null")
+
+
+def _sizes() -> list[Column]:
+    return [F.count("*").alias("n_seed"), F.count_if(K.is_uuid(F.col("seed_id"))).alias("n_uuid"), F.min(F.length("seed_id")).alias("min_len"), F.max(F.length("seed_id")).alias("max_len")]
+
+
+def id_space(seeds: DataFrame, latest: DataFrame, crosswalk: DataFrame, log: DataFrame) -> DataFrame:
+    """One row: seed counts and, by ID space, how many seeds are in it. All spaces meet the seeds in one semi join, before
+    what is left is made distinct."""
+    hits = _spaces(latest, crosswalk, log).join(seeds.select("seed_id"), "seed_id", "left_semi").distinct().agg(*[F.count_if(F.col("space") == s).alias(f"n_{s}") for s in ID_SPACES])
+    return seeds.agg(*_sizes()).join(hits)  # a row each
+
+
+def id_spaces(seeds: DataFrame, latest: DataFrame, crosswalk: DataFrame, log: DataFrame) -> DataFrame:
+    """``id_space`` of several lists (label, seed_id), a row a label, in one pass over log and crosswalk: the spaces are
+    reduced to the IDs of any list, which then meet the lists. A list without rows has no row."""
+    near = _spaces(latest, crosswalk, log).join(seeds.select("seed_id"), "seed_id", "left_semi").distinct()
+    hits = seeds.join(near, "seed_id", "left").groupBy("label").agg(*[F.count_if(F.col("space") == s).alias(f"n_{s}") for s in ID_SPACES])
+    return seeds.groupBy("label").agg(*_sizes()).join(hits, "label")
 
 
 def id_space_decision(counts: DataFrame, least: float = 0.1) -> DataFrame:
-    """direct, crosswalk or ambiguous, with both rates and the better crosswalk column (of equal ones the first)."""
+    """direct, crosswalk or ambiguous, with both rates and the better crosswalk column (of equal ones the first); by label,
+    if ``counts`` has one."""
     rate = lambda c: F.coalesce(F.try_divide(F.col(c), F.col("n_seed")), F.lit(0.0))
     direct, cross = F.greatest(rate("n_snapshot_direct"), rate("n_crosswalk_ad_id")), F.greatest(rate("n_crosswalk_platform_ad_id"), rate("n_crosswalk_uuid"))
     return counts.select(
+        *[c for c in ("label",) if c in counts.columns],
         F.when((direct >= least) & (cross < least), "direct").when((direct < least) & (cross >= least), "crosswalk").otherwise("ambiguous").alias("mode"),
         F.when(rate("n_crosswalk_platform_ad_id") >= rate("n_crosswalk_uuid"), "platform_ad_id").otherwise("uuid").alias("crosswalk_col"),
         F.round(direct, 6).alias("direct_rate"),

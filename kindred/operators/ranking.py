@@ -46,10 +46,13 @@ def tied_places(rows: DataFrame, column: str, then: str, weight: str, name: str)
     what each value starts from and how often it comes; they are joined by run and value, so that its rows stay spread."""
     t = _dealt(rows, [F.col(column), F.col(then)])
     runs = t.groupBy("_part", column).agg(F.sum(weight).alias("_c")).join(_before(t, F.sum(weight)), "_part")
-    # a value's rows within a run follow those of lesser values there; later runs of it are its own alone
-    upto = F.sum("_c").over(Window.partitionBy("_part").orderBy(column)) - F.col("_c") + F.col("_before")
-    own = Window.partitionBy(column)
-    places = runs.withColumn("_low", upto).select("_part", column, (F.min("_low").over(own) + (F.sum("_c").over(own) + 1) / 2).alias(name))
+    run = Window.partitionBy("_part")
+    # a value's rows within a run follow those of lesser values there
+    low = F.sum("_c").over(run.orderBy(column)) - F.col("_c") + F.col("_before")
+    runs = cut(runs.select("_part", column, "_c", low.alias("_low"), ((F.col(column) == F.min(column).over(run)) | (F.col(column) == F.max(column).over(run))).alias("_edge")), "runs")
+    # a value in several runs ends or begins each of them: two rows a partition at most
+    over = F.broadcast(runs.where("_edge").groupBy(column).agg(F.min("_low").alias("_l"), F.sum("_c").alias("_n")))
+    places = runs.join(over, column, "left").select("_part", column, (F.coalesce("_l", "_low") + (F.coalesce("_n", "_c") + 1) / 2).alias(name))
     return t.join(places, ["_part", column]).drop("_part", "_own")
 
 

@@ -204,17 +204,23 @@ class Seeds(Scenario):
         self.top_percent, self.union_target, self.fit, self.table = top_percent, union_target, fit or {}, table
         self.at_least, self.report_percents, self.model = at_least, report_percents, model
 
-    def resolved(self, seeds: DataFrame, latest: DataFrame) -> DataFrame:
-        """(device_ifa) of a seed list, by the mode that is forced or found."""
-        mode, inputs = self.id_mode, self.pool.inputs
-        if mode == "auto":
-            found = populations.id_space_decision(populations.id_space(seeds, latest, inputs.crosswalk, inputs.log)).first()
-            if found.mode == "ambiguous":
-                raise ValueError("the seeds' ID space is not clear; force id_mode")
-            mode = "direct" if found.mode == "direct" else f"crosswalk:{found.crosswalk_col}"
+    def modes(self, latest: DataFrame) -> dict[str, str]:
+        """How each list's IDs become devices: as forced, or as found for all lists in one pass."""
+        if self.id_mode != "auto":
+            return dict.fromkeys(self.seeds, self.id_mode)
+        tagged = reduce(DataFrame.union, [s.select(F.lit(k).alias("label"), "seed_id") for k, s in self.seeds.items()])
+        inputs = self.pool.inputs
+        found = {r.label: r for r in populations.id_space_decision(populations.id_spaces(tagged, latest, inputs.crosswalk, inputs.log)).collect()}  # a row a list
+        unclear = [k for k in self.seeds if k not in found or found[k].mode == "ambiguous"]
+        if unclear:
+            raise ValueError(f"the ID space of {', '.join(unclear)} is not clear; force id_mode")
+        return {k: "direct" if found[k].mode == "direct" else f"crosswalk:{found[k].crosswalk_col}" for k in self.seeds}
+
+    def resolved(self, seeds: DataFrame, mode: str) -> DataFrame:
+        """(device_ifa) of a seed list."""
         if mode == "direct":
             return seeds.select(F.col("seed_id").alias("device_ifa")).distinct()
-        return populations.crosswalked(seeds, inputs.crosswalk, mode.split(":")[1])
+        return populations.crosswalked(seeds, self.pool.inputs.crosswalk, mode.split(":")[1])
 
     def run(self, until: str | None = None) -> DataFrame:
         """The last table made."""
@@ -227,7 +233,8 @@ class Seeds(Scenario):
         latest, ids = inputs.latest, inputs.ids()
 
         def seed() -> DataFrame:
-            parts = [self.resolved(s, latest).withColumn("label", F.lit(k)) for k, s in self.seeds.items()]
+            modes = self.modes(latest)
+            parts = [self.resolved(s, modes[k]).withColumn("label", F.lit(k)) for k, s in self.seeds.items()]
             tagged = parts[0]
             for p in parts[1:]:
                 tagged = tagged.unionByName(p)

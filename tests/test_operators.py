@@ -57,6 +57,30 @@ def test_ambiguous_and_empty_seeds(spark):
         assert populations.id_space_decision(populations.id_space(s, latest, crosswalk, log)).first()[0] == mode
 
 
+def test_several_lists_in_one_pass(spark):
+    """Each list as it is by itself; one without rows has none, as has an ID that no space knows in its counts."""
+    latest = spark.createDataFrame([("a", "1"), ("e", "2")], "device_ifa string, segments string")
+    crosswalk = spark.createDataFrame([("b", "a", None), ("b", "c", "u"), ("f", "c", "v")], "ad_id string, platform_ad_id string, uuid string")
+    log = spark.createDataFrame([("c",), ("c",), ("e",)], "device_ifa string")
+    lists = {"x": ["a", "b", "zz"], "y": ["c"], "z": ["e", "a", "u", "v"]}
+    both = spark.createDataFrame([(k, i) for k, v in lists.items() for i in v], "label string, seed_id string")
+    got = {r.label: r.asDict() for r in populations.id_spaces(both, latest, crosswalk, log).collect()}
+    modes = {r.label: r.mode for r in populations.id_space_decision(populations.id_spaces(both, latest, crosswalk, log)).collect()}
+    for k, v in lists.items():
+        one = populations.id_space(spark.createDataFrame([(i,) for i in v], "seed_id string"), latest, crosswalk, log)
+        assert got[k] == {"label": k} | one.first().asDict() and modes[k] == populations.id_space_decision(one).first().mode
+    assert set(got) == set(lists)
+
+
+def test_share_search_starts_at_its_least(spark):
+    """No share below 0.01 % is taken, however small the target."""
+    s = spark.range(200_000).select(F.col("id").cast("string").alias("device_ifa"), (-F.col("id")).cast("double").alias("score_a"))
+    ranks = s.withColumn("r_a", (1 - F.col("score_a")).cast("bigint"))
+    found = selection.percent_for_union(ranks, ["a"], 2).first()
+    assert (found.pct, found.n_union) == (0.01, 20)
+    assert selection.percent_for_union(ranks, ["a"], 2, least=0.001).first().n_union == 2
+
+
 def test_selection_edges(spark):
     s = spark.createDataFrame([(str(i), float(i % 3), float(-i)) for i in range(50)], "device_ifa string, score_a double, score_b double")
     r = selection.ranked(s, ["a", "b"])

@@ -1,4 +1,5 @@
 import json
+import subprocess
 
 import pytest
 
@@ -54,3 +55,36 @@ def test_seed_registry(spark, tmp_path):
     for run, ids in (("a", "xy"), ("b", "yz"), ("a", "w")):
         runs.register_seeds(layout, run, spark.createDataFrame([(i,) for i in ids], "device_ifa string"))
     assert sorted(map(tuple, runs.registered_seeds(spark, layout).collect())) == [("a", "w"), ("b", "y"), ("b", "z")]
+
+
+def test_changed_settings_and_inputs(spark, tmp_path):
+    """A stage is made again for other settings or inputs, which its record names, or refused; without a note it counts as
+    not made."""
+    root, built = str(tmp_path / "run"), []
+
+    def build():
+        built.append(1)
+        return spark.range(len(built))
+
+    ask = lambda **k: runs.stage(spark, root, "s", build, **k).count()
+    assert [ask(params={"p": 1}, inputs={"a": "x"}) for _ in range(2)] == [1, 1]
+    assert ask(params={"p": 1}, inputs={"a": "y"}) == 2 and ask(params={"p": 2}, inputs={"a": "y"}) == 3
+    with pytest.raises(ValueError, match="input a, param p"):
+        ask(params={"p": 1}, inputs={"a": "x"}, refuse=True)
+    assert ask() == 3 and ask(params={"p": 1}, inputs={"a": "x"}, refuse=True, force=True) == 4
+    runs.delete(spark, f"{root}/_stages/s")
+    assert ask(params={"p": 1}, inputs={"a": "x"}, refuse=True) == 5
+    assert sorted(tuple(r.changed) for r in runs.lineage(spark, root).where("status = 'ok'").collect()) == [(), (), ("input a",), ("input a", "param p"), ("param p",)]
+
+
+def test_code_state(tmp_path):
+    """The commit, marked once a file differs; none outside of a repository."""
+    assert runs.code_state(str(tmp_path)) is None
+    git = lambda *a: subprocess.run(["git", "-C", str(tmp_path), "-c", "user.name=x", "-c", "user.email=x@example.com", *a], check=True, capture_output=True)
+    git("init")
+    (tmp_path / "f").write_text("1")
+    git("add", "f")
+    git("commit", "-m", "x")
+    clean = runs.code_state(str(tmp_path))
+    (tmp_path / "f").write_text("2")
+    assert len(clean) == 40 and runs.code_state(str(tmp_path)) == clean + "+dirty"
