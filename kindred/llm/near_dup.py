@@ -74,9 +74,16 @@ def base_keys(found: np.ndarray, bases: int = BASES, width: int = WIDTH) -> np.n
     return key.view(np.int64)
 
 
+def _sliced(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches in parts, so that a worker holds few texts as Python's own at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def _signatures(words: int, bases: int, width: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _sliced(batches):
             sizes, marks, keys = [], [], []
             for text in b.column("text").to_pylist():
                 s = shingles(text, words)
@@ -93,7 +100,7 @@ def _signatures(words: int, bases: int, width: int):
 
 def _sets(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _sliced(batches):
             yield pa.RecordBatch.from_arrays(
                 [b.column("node"), pa.array([shingles(t, words).view(np.int64) for t in b.column("text").to_pylist()], pa.list_(pa.int64()))], ["node", "found"]
             )
