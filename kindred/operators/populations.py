@@ -94,6 +94,12 @@ def _spaces(latest: DataFrame, crosswalk: DataFrame, log: DataFrame) -> DataFram
     return stacked.union(latest.select(F.lit("snapshot_direct"), "device_ifa")).union(log.select(F.lit("log_direct"), "device_ifa")).where("seed_id is not null")
 
 
+def _near(seeds: DataFrame, latest: DataFrame, crosswalk: DataFrame, log: DataFrame) -> DataFrame:
+    """Distinct (space, seed_id) of the seeds. Tasks hash their seeds, each once, and let the spaces pass by, which are far
+    larger and are not sorted."""
+    return _spaces(latest, crosswalk, log).join(seeds.select("seed_id").distinct().hint("shuffle_hash"), "seed_id", "left_semi").distinct()
+
+
 def _sizes() -> list[Column]:
     return [F.count("*").alias("n_seed"), F.count_if(K.is_uuid(F.col("seed_id"))).alias("n_uuid"), F.min(F.length("seed_id")).alias("min_len"), F.max(F.length("seed_id")).alias("max_len")]
 
@@ -101,15 +107,14 @@ def _sizes() -> list[Column]:
 def id_space(seeds: DataFrame, latest: DataFrame, crosswalk: DataFrame, log: DataFrame) -> DataFrame:
     """One row: seed counts and, by ID space, how many seeds are in it. All spaces meet the seeds in one semi join, before
     what is left is made distinct."""
-    hits = _spaces(latest, crosswalk, log).join(seeds.select("seed_id"), "seed_id", "left_semi").distinct().agg(*[F.count_if(F.col("space") == s).alias(f"n_{s}") for s in ID_SPACES])
+    hits = _near(seeds, latest, crosswalk, log).agg(*[F.count_if(F.col("space") == s).alias(f"n_{s}") for s in ID_SPACES])
     return seeds.agg(*_sizes()).join(hits)  # a row each
 
 
 def id_spaces(seeds: DataFrame, latest: DataFrame, crosswalk: DataFrame, log: DataFrame) -> DataFrame:
     """``id_space`` of several lists (label, seed_id), a row a label, in one pass over log and crosswalk: the spaces are
     reduced to the IDs of any list, which then meet the lists. A list without rows has no row."""
-    near = _spaces(latest, crosswalk, log).join(seeds.select("seed_id"), "seed_id", "left_semi").distinct()
-    hits = seeds.join(near, "seed_id", "left").groupBy("label").agg(*[F.count_if(F.col("space") == s).alias(f"n_{s}") for s in ID_SPACES])
+    hits = seeds.join(_near(seeds, latest, crosswalk, log), "seed_id", "left").groupBy("label").agg(*[F.count_if(F.col("space") == s).alias(f"n_{s}") for s in ID_SPACES])
     return seeds.groupBy("label").agg(*_sizes()).join(hits, "label")
 
 
