@@ -25,6 +25,7 @@ from kindred.operators import features, labels, models, populations, selection
 from kindred.plans import runs
 from kindred.plans.latest import update_latest
 from kindred.sources.files import facts, files_mark, latest_partition, mark_of, partitions
+from kindred.sources.tables import cut
 
 POOL_STAGES = ("pool", "train", "encode")
 SEED_STAGES = ("seed", "candidate", "encode", "train", "score", "lists", "overlap", "publish")
@@ -60,10 +61,11 @@ class Inputs:
 
     @cached_property
     def latest(self) -> DataFrame:
-        """(device_ifa, segments): one build for all populations of a run, or the table that is carried on."""
+        """(device_ifa, segments): built when first asked for and written, once for all populations of a run, or the table
+        that is carried on."""
         if self.latest_at and "snapshots" in self.paths:
             return update_latest(self.snapshots.sparkSession, self.paths["snapshots"][0], self.latest_at).drop("seen")
-        return populations.latest_segments(self.snapshots)
+        return cut(populations.latest_segments(self.snapshots), "latest")
 
     def files(self, *names: str, spans: list[tuple[str, str]] | None = None) -> dict[str, list[str]]:
         """Paths of inputs by name, of the log only the partitions of ``spans``."""
@@ -230,9 +232,10 @@ class Seeds(Scenario):
         # vectors of another encoder would not be comparable
         digest = models.about_model(spark, f"{encoder_at(spark, self.pool.encoder)}/model")["sha256"]
         runs.keep(spark, f"{self.root}/encoder", {"sha256": digest}, self.force)
-        latest, ids = inputs.latest, inputs.ids()
+        ids = inputs.ids()
 
         def seed() -> DataFrame:
+            latest = inputs.latest
             modes = self.modes(latest)
             parts = [self.resolved(s, modes[k]).withColumn("label", F.lit(k)) for k, s in self.seeds.items()]
             tagged = parts[0]
@@ -249,7 +252,7 @@ class Seeds(Scenario):
 
         def candidate() -> DataFrame:
             log = populations.compliant(inputs.log, K.periods(self.periods), self.pool.spec.region, self.pool.spec.android)
-            return features.segment_features(populations.population(log, latest), ids)
+            return features.segment_features(populations.population(log, inputs.latest), ids)
 
         watched = inputs.files("log", "snapshots", "taxonomy", spans=self.periods)
         candidates = self.make("candidate", candidate, inputs=inputs.marks(watched), files=watched, periods=self.periods, pool=self.pool.spec)

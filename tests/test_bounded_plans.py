@@ -1,4 +1,5 @@
 from kindred.operators import populations
+from kindred.plans.scenarios import Inputs
 
 
 def _plan(df):
@@ -22,3 +23,11 @@ def test_id_spaces_are_not_sorted_to_meet_seeds(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     assert [[got[k][f"n_{s}"] for s in populations.ID_SPACES] for k in "km"] == [[1, 1, 0, 1, 1], [1, 0, 0, 1, 1]]
+
+
+def test_latest_snapshots_are_built_once_a_run(spark):
+    rows = [("a", "2", "1;2", "2024", "01", "02"), ("a", "2", "3", "2024", "01", "01"), ("b", "2", None, "2024", "01", "01"), ("c", "1", "4", "2024", "01", "01")]
+    snapshots = spark.createDataFrame(rows, "ad_id string, id_type string, segments string, year string, month string, day string")
+    inputs = Inputs(snapshots, snapshots, snapshots, snapshots, None)
+    assert sorted(map(tuple, inputs.latest.collect())) == [("a", "1;2"), ("b", None)]
+    assert "Window" not in _plan(inputs.latest)
